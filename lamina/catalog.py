@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lamina.queries import artifacts, cases, layout, topics
+
 FLAGSHIP = "artifact_clean_text"
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+QUERIES = {**artifacts.QUERIES, **layout.QUERIES, **cases.QUERIES, **topics.QUERIES}
+ORACLES: dict[str, str] = {**artifacts.ORACLES, **layout.ORACLES, **cases.ORACLES, **topics.ORACLES}
