@@ -143,7 +143,13 @@ SELECT doc_id, page_index, x0, card, count(*) AS n, max(y1) AS bottom FROM k GRO
 
 
 def card_grid(spark, sf_dir):
-    return chrome.card_grids(layout.with_geometry(_links(spark, sf_dir)))
+    """Link rows above four wide paragraphs."""
+    b = _links(spark, sf_dir)
+    wide = b.select("doc_id").distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3)))).select(
+        "doc_id", F.lit(0).alias("page_index"), (1000 + F.col("k")).cast("int").alias("block_index"), F.lit(600.0).alias("page_width"), F.lit(800.0).alias("page_height"),
+        F.lit(60.0).alias("x0"), (400.0 + 60 * F.col("k")).alias("y0"), F.lit(560.0).alias("x1"), (440.0 + 60 * F.col("k")).alias("y1"), F.lit("wide " * 30).alias("text"), F.array(F.lit(11.0)).alias("font_sizes"),
+    )
+    return chrome.card_grids(layout.with_geometry(b.unionByName(wide)))
 
 
 def main_column(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""What a Spark session needs to run this package's Python functions."""
+"""What a Spark session needs: the package on its workers, and a folder for checkpoints."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: dict[str, str] = {}
 
@@ -28,3 +28,26 @@ def ship(spark: SparkSession) -> None:
             z.write(p, Path(root.name) / p.relative_to(root))
     sc.addPyFile(path)
     _shipped[sc.applicationId] = path
+
+
+def shared_checkpoints(spark: SparkSession) -> None:
+    """Make checkpoint() write where spark.checkpoint.dir says.
+
+    Without that setting a temporary folder serves, but only in local mode,
+    where it is reachable by every task; on a cluster that is an error.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="lamina-checkpoint-")
+    sc.setCheckpointDir(where)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, materialised in the shared folder; its lineage ends there."""
+    shared_checkpoints(df.sparkSession)
+    return df.checkpoint(eager=True)
