@@ -86,13 +86,15 @@ def paths(messages: DataFrame, rounds: int = 40) -> DataFrame:
     known = m.select(F.col("msg").alias("p"))
     m = m.join(known, m["parent"] == known["p"], "left").select("msg", F.col("p").alias("up"))
     jump, jumps = cut(m.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1))), []
+    left = -1
     for _ in range(rounds):
         jumps.append(jump)
-        if jump.where("up IS NOT NULL").isEmpty():
+        # depths have no holes: a round that reaches no further root leaves only messages on or under cycles
+        before, left = left, jump.where("up IS NOT NULL").count()
+        if left in (0, before):
             break
         far = jump.select(F.col("msg").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("d2"))
         jump = cut(jump.join(far, "up", "left").select("msg", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth")))
-    # what still has an ancestor after that many rounds lies on or under a cycle
     depth = jumps[-1].where("up IS NULL").select("msg", "depth")
     leaves = depth.join(m.select(F.col("up").alias("msg")).where("msg IS NOT NULL").distinct(), "msg", "left_anti")
     way = leaves.select(F.col("msg").alias("leaf"), "depth", "msg")
