@@ -145,16 +145,16 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) ->
     copies in an unspecified but stable way.
     """
     n = mix(docs, weights, most)
-    per = n.groupBy("doc_id", "th").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("rows"))
-    tagged = docs.withColumn("__th", F.xxhash64("text"))
-    joined = tagged.join(per, tagged["doc_id"].eqNullSafe(per["doc_id"]) & tagged["__th"].eqNullSafe(per["th"]))
-    first = F.when(F.col("rows") == 1, F.col("c"))
+    per = n.groupBy("doc_id", "th").agg(F.sum("copies").alias("__c"), F.count(F.lit(1)).alias("__rows"))
+    per = per.select(F.col("doc_id").alias("__d"), F.col("th").alias("__h"), "__c", "__rows")
+    joined = docs.withColumn("__th", F.xxhash64("text")).join(per, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__th") == F.col("__h")))
     # repeated rows: the k-th of m gets the k-th share of their copies
-    k = F.row_number().over(Window.partitionBy(per["doc_id"], "th").orderBy(*[F.xxhash64(*[tagged[c] for c in docs.columns])]))
-    share = F.floor(F.col("c") * k / F.col("rows")) - F.floor(F.col("c") * (k - 1) / F.col("rows"))
-    once = joined.where("rows = 1").select(*[tagged[c] for c in docs.columns], F.col("c").alias("__c"))
-    many = joined.where("rows > 1").select(*[tagged[c] for c in docs.columns], share.alias("__c"))
-    return once.unionByName(many).withColumn("__k", F.explode(F.sequence(F.lit(1), F.greatest("__c", F.lit(1)).cast("int")))).where("__c > 0").select(*docs.columns)
+    k = F.row_number().over(Window.partitionBy("doc_id", "__th").orderBy(F.xxhash64(*docs.columns)))
+    share = F.floor(F.col("__c") * F.col("__k") / F.col("__rows")) - F.floor(F.col("__c") * (F.col("__k") - 1) / F.col("__rows"))
+    once = joined.where("__rows = 1").select(*docs.columns, F.col("__c"))
+    many = joined.where("__rows > 1").withColumn("__k", k).select(*docs.columns, share.alias("__c"))
+    taken = once.unionByName(many).where("__c > 0")
+    return taken.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int")))).select(*docs.columns)
 
 
 def op9_mixing_sources(spark, sf_dir: str) -> DataFrame:
