@@ -1,0 +1,96 @@
+import random
+import re
+from html import unescape
+
+import duckdb
+import numpy as np
+import pytest
+
+from lamina.llm import html_extract as hx
+from lamina.llm import licenses, trees
+from lamina.llm import secrets_scan as ss
+
+
+def test_licences_equal_sql_and_rules(spark):
+    bsd = "Copyright X. " + " ".join(s for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names") for s in licenses.SENTENCES[k])
+    rows = [(1, None), (2, ""), (3, "Text.\nAll rights reserved."), (4, bsd), (5, bsd.upper()), (6, "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."), (7, "licensed, under cc by 4 0"), (8, "Released under the MIT License. All rights reserved."), (9, "We all have rights, reserved seats.")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, sid string")
+    got = {r.doc_id: tuple(r) for r in licenses.scan(docs).collect()}
+    assert [got[i][3] for i in (3, 4, 5, 6, 8)] == ["proprietary", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "MIT"] and got[9][3] is None and got[1][1:] == (0, "", None) and got[7][3] == "CC-BY-4.0"
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    assert sorted(got.values()) == sorted(con.execute(licenses.ORACLE_SQL).fetchall())
+    again = licenses.scan(docs.unionByName(docs.where("doc_id = 3")))
+    assert again.count() == 10 and again.where("doc_id = 3 AND n_sentences = 1").count() == 2 and licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_secret_forest_on_held_out_findings():
+    x, y = ss.training_table(1500, seed=71)
+    p = sum(trees.tree_values(t, x) for t in ss.fitted()) / len(ss.fitted())
+    assert ((p >= 0.5) == (y == 1)).mean() > 0.97
+
+
+def test_secrets_found_and_false_alarms_dropped(spark):
+    key = "AKIA" + "Q7WERTZ4UIOPLKJ2"
+    rows = [(1, f"x {key} y", "a"), (2, 'set token = "0641917ea4e9feb9cda83477b57ac2654884" now', None), (3, "password=e3b3ed3cc8548923d6", "b"), (4, "password=changeme and token = your_token_here", "c"), (5, "plain prose about a password: required", "d"), (6, None, None), (7, "", "e"), (8, "w " * 50000, "f")]
+    got = {r.doc_id: r for r in ss.scan(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, n_secrets int")).collect()}
+    assert got[1].spans == "prefixed:2:22" and got[2].n_secrets == 1 and got[3].n_secrets == 1
+    assert [got[i].n_secrets for i in (4, 5, 6, 7, 8)] == [0] * 5
+    assert ss.scan(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_html_tree_on_held_out_pages():
+    x, y = hx.training_table(200, seed=44)
+    assert ((trees.tree_values(hx.fitted(), x) >= 0.5) == (y == 1)).mean() > 0.98
+
+
+def _article(rng):
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n)) + "."
+    return [words(6)] + [words(rng.randint(1, 60)) for _ in range(6)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_article_is_found_whole(seed):
+    rng = random.Random(seed)
+    body = _article(rng)
+    inside = "<h1>" + body[0] + "</h1>" + "".join(f"<p>{b}" + ("</p>" if rng.random() < 0.7 else "") for b in body[1:])
+    page = (
+        "<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style><script>var t='</p>';</script></head><body><header class='site-header'>Site name here</header><nav><ul><li><a href=x>One</a></li><li><a href=y>Two things</a></li></ul></nav>"
+        "<!-- <p>hidden</p> --><div class='cookie-notice'><p>We value your privacy and this is a longer sentence about it.</p></div><div class=ad>Buy this now, it is a good thing to have.</div>"
+        f"<article>{inside}</article><aside><p>Related reading that is also a full sentence of text.</p></aside><section id='comments'><p>First comment by a reader of this page.</p></section>"
+        "<form><label>Name</label><p>Send us your message with this form.</p></form><footer>&copy; Site &middot; Some words at the end.</footer></body></html>"
+    )
+    assert hx.main_text(page, hx.fitted()) == "\n".join(body)
+
+
+def test_html_edges(spark):
+    tree = hx.fitted()
+    art = lambda s: f"<article><h1>Title words here.</h1><p>{s}</p></article>"
+    assert hx.main_text(art("a &amp; b&nbsp;&lt;c&gt; \n\t d &am"), tree).split("\n")[1] == "a & b <c> d &am"
+    for broken in ("<article><p>text with words in it <b>bold", "<article><p>text <a title='x", "<<<>>><p", "<!-- never closed", "<p>" * 5000, "</div>" * 50, "&#x0;&#99999999;", "<script>x"):
+        hx.main_text(broken, tree)
+    rows = [(1, "u", None, "t"), (2, None, "", "t"), (3, "v", art("Some words are written here for you."), "t"), (3, "v", art("Some words are written here for you."), "t")]
+    got = hx.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
+    assert len(got) == 4 and got[0].text == "" and got[2].text == "Title words here.\nSome words are written here for you." and got[2].n_chars == len(got[2].text)
+    long = art("word " * 200_000)
+    assert hx.main_text(long, tree).count("word") == 200_000
+    assert hx.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_given_pages_equal_their_articles():
+    pages = duckdb.sql("SELECT html FROM '/root/testdata/sf0.001/pages.parquet'").fetchall()
+    for (h,) in pages:
+        inner = h[h.index("<article>") + 9 :].split("</article>")[0].split("<footer")[0]
+        parts = (" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inner))
+        assert hx.main_text(h, hx.fitted()) == "\n".join(p for p in parts if p)
+
+
+def test_trees_agree_with_their_sql(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    tree = trees.fit_tree(x, y, np.ones(300), 4)
+    df = spark.createDataFrame(x.tolist(), "a double, b double, c double")
+    got = [r[0] for r in df.selectExpr(trees.tree_sql(tree, ["a", "b", "c"])).collect()]
+    assert np.allclose(got, trees.tree_values(tree, x)) and ((np.array(got) >= 0.5) == y).mean() > 0.95
