@@ -7,12 +7,13 @@ the names and words before it, and the path it comes from; a random forest
 fitted on the driver to ``TRAIN_ROWS`` generated, labelled findings decides.
 
 Rows: null and empty texts have no findings; texts are read whole; of
-overlapping candidates the one that starts first, then the longest, is judged;
+overlapping candidates the most telling kind, then the first, is judged;
 rows that repeat give equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 import random
 import re
@@ -30,7 +31,7 @@ _PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh
 _HINTS = ("AKIA", "ASIA", "gh", "glpat-", "xox", "sk_live_", "AIza", "eyJ")
 _ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?[\"']?\s{0,3}(?:=|:|=>)\s{0,3}[\"']?([^\s\"'<>,;]{6,200})")
 _BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{0,10000}(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?")
-_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,200}={0,2}(?![A-Za-z0-9+/_=-])")
 _PIECES = re.compile(
     "the|and|tion|ing|that|with|for|ment|ent|able|ble|ness|ous|con|pro|pre|com|der|die|das|ung|heit|keit|sch|ein|ich|que|les|des|eau|eux|ello|ado|ando|example|sample|test|dummy|placeholder|change|your|password|secret|token|user|admin|"
     "null|none|true|false|default|value|string|key|here|name|file|path|data|version|config|http|www|html|json|class|function"
@@ -53,11 +54,11 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     for m in _LONG.finditer(text):
         if m2 := _MIXED.match(text, m.start()):
             found.append((m2.start(), m2.end(), 3))
-    out, upto = [], 0
-    for s, e, k in sorted(found, key=lambda x: (x[0], x[0] - x[1], x[2])):
-        if s >= upto:
-            out.append((s, e, k))
-            upto = e
+    out: list[tuple[int, int, int]] = []  # of overlapping ones the most telling kind stays, then the first
+    for s, e, k in sorted(found, key=lambda x: (x[2], x[0], x[0] - x[1])):
+        i = bisect.bisect(out, (s, e, k))
+        if (i == 0 or out[i - 1][1] <= s) and (i == len(out) or out[i][0] >= e):
+            out.insert(i, (s, e, k))
     return out
 
 
