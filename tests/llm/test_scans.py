@@ -74,7 +74,7 @@ def test_html_edges(spark):
     got = hx.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert len(got) == 4 and got[0].text == "" and got[2].text == "Title words here.\nSome words are written here for you." and got[2].n_chars == len(got[2].text)
     long = art("word " * 200_000)
-    assert hx.main_text(long, tree).count("word") == 200_000
+    assert hx.main_text(long, tree).split("\n")[1].count("word") == 200_000
     assert hx.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
