@@ -26,7 +26,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.util import SPACE, cut
+from lamina.llm.util import SPACE
 
 LANES = 2
 SHINGLE = 3
@@ -90,7 +90,7 @@ def near_pairs(df: DataFrame, radius: int, blocks: int | None = None, fp: str =
     if blocks <= radius:
         raise ValueError("more blocks than differing bits are needed")
     ends = [round(64 * i / blocks) for i in range(blocks + 1)]
-    block = lambda c, i: F.shiftrightunsigned(c, ends[i]).bitwiseAND(F.lit((1 << (ends[i + 1] - ends[i])) - 1))
+    block = lambda c, i: F.shiftrightunsigned(c, ends[i]).bitwiseAND(F.lit(-1 if blocks == 1 else (1 << (ends[i + 1] - ends[i])) - 1))
     sets = list(combinations(range(blocks), blocks - radius))
     distinct = df.select(F.col(fp).alias("fp")).where("fp IS NOT NULL").distinct()
     keys = F.array(*[F.xxhash64(F.lit(i), *[block(F.col("fp"), j) for j in s]) for i, s in enumerate(sets)])

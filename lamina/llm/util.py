@@ -2,43 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.session import cut, shared_checkpoints
+
+__all__ = ["SPACE", "WORD", "cut", "rank_within", "shared_checkpoints"]
+
 #: ASCII white space as the contracts define it, and the complement.
 SPACE = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACE}]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() write where spark.checkpoint.dir says.
-
-    Without that setting a temporary folder serves, but only in local mode,
-    where it is reachable by every task; on a cluster that is an error.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        where = tempfile.mkdtemp(prefix="lamina-checkpoint-")
-    sc.setCheckpointDir(where)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df, materialised in the shared folder; its lineage ends there."""
-    shared_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def rank_within(df: DataFrame, keys: list[str], order: list[Column], salt: Column, buckets: int, name: str = "rank") -> DataFrame:
     """df with ``name``: a row's number, from 0, among the rows of equal keys.
 
