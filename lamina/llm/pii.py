@@ -3,7 +3,7 @@
 *Base spans* come from four patterns (e-mail, IPv4 address, payment card,
 international phone) with their checks; failing matches are dropped, never
 retried.  *Candidates* come from generators of high recall (national phone
-numbers, cards with other separators, social-security numbers, IBANs, IPv6,
+numbers, cards with other separators, social-security numbers, IBANs,
 spelled-out e-mails), which may overlap.  Gradient-boosted trees score each by
 its format and by the words before it; a threshold calibrated on held-out rows
 for precision selects; of overlapping selections the better score stays, and
@@ -61,7 +61,7 @@ _GENERATORS = {
 FEATURES = ("n_chars", "n_digits", "n_seps", "n_kinds_of_seps", "n_groups", "longest_run", "first_run", "last_run", "luhn", "mod97", "opens", "year_like", "cue_phone", "cue_card", "cue_ssn", "cue_iban", "cue_email", "cue_other", "kind")
 
 
-# ---------------------------------------------------------------- columns
+# Columns
 
 
 def _placed(df: DataFrame, text: Column, patterns: dict[str, tuple[str, Column]]) -> DataFrame:
@@ -258,7 +258,7 @@ def redact(docs: DataFrame) -> DataFrame:
     return out.select(*docs.columns)
 
 
-# ---------------------------------------------------------------- the model
+# The model
 
 
 def feature_row(t: str, before: str, kind: int) -> list[float]:

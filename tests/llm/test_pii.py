@@ -7,7 +7,7 @@ import numpy as np
 from lamina.llm import pii, trees
 
 _BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "email": re.compile(r"[\w.%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", re.A),
     "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
