@@ -39,7 +39,7 @@ class Switches:
     tags: bool = True
 
 
-COUNTS = ("urls_removed", "emails_removed", "separator_lines_removed", "ligatures_normalized", "icon_glyphs_removed", "html_tags_removed")
+COUNTS = tuple("urls_removed emails_removed separator_lines_removed ligatures_normalized icon_glyphs_removed html_tags_removed".split())
 
 
 def count(c: Column, pattern: str) -> Column:
