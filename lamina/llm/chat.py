@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,23 +122,28 @@ def format_paths(way: DataFrame, messages: DataFrame) -> DataFrame:
     formatted, loss_spans): each path as one conversation, and what reading it
     back gives.
 
-    ``messages`` has msg, role and text.  One path is one group; a path is a
-    single conversation, which has to fit a task anyway.
+    ``messages`` has msg, role and text.  A path's turns become one row: it is
+    a single conversation, which has to fit a task anyway.
     """
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("depth")
-        text, spans = format_turns([(r if isinstance(r, str) else "unknown", t if isinstance(t, str) else "") for r, t in zip(group["role"], group["text"])])
-        turns = read_back(text)
-        learnt = "".join(unescape(text[a:b]) for a, b in spans)
+    def each(batches):
         sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        row = (group["leaf"].iloc[0], len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(learnt), sha(learnt), len(text), text, [list(s) for s in spans])
-        return pd.DataFrame([row], columns=["leaf", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "formatted", "loss_spans"])
-
-    leaf = dict(way.dtypes)["leaf"]
-    rows = way.join(messages.select("msg", "role", "text"), "msg").select("leaf", "depth", "role", "text")
-    schema = f"leaf {leaf}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, formatted string, loss_spans array<array<long>>"
-    return rows.groupBy("leaf").applyInPandas(one, schema)
+        for batch in batches:
+            rows = []
+            for turns in batch.column(1).to_pylist():
+                text, spans = format_turns([(t["role"] if t["role"] is not None else "unknown", t["text"] or "") for t in turns])
+                back = read_back(text)
+                learnt = "".join(unescape(text[a:b]) for a, b in spans)
+                rows.append((len(back), sha("".join(f"{r}\n{t}\n" for r, t in back)), len(learnt), sha(learnt), len(text), text, [list(s) for s in spans]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names=["leaf", *names])
+
+    names = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "formatted", "loss_spans"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.list_(pa.int64()))]
+    rows = way.join(messages.select("msg", "role", "text"), "msg")
+    turns = rows.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("depth", "role", "text"))).alias("turns"))
+    schema = f"leaf {dict(way.dtypes)['leaf']}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, formatted string, loss_spans array<array<long>>"
+    return turns.mapInArrow(each, schema)
 
 
 def op6_chat_formatting(spark, sf_dir: str) -> DataFrame:
