@@ -2,72 +2,77 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of vectors that may be broadcast for the exact search; above, hashing finds candidates.
-MOST_BROADCAST = 64 << 20
-
+from lamina.session import cut
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+#: Bytes of vectors in a broadcast block (about: blocks are cut by hash); a block has LEAST_ROWS vectors even if they are more.
+MOST_BROADCAST, LEAST_ROWS = 64 << 20, 1_024
+#: Similarities that a task holds at a time.
+_MOST_SIMS = 4_000_000
 
 
-def knn(vectors: DataFrame, k: int, vec: str = "embedding", key: str = "vec_id", bits: int = 12, tables: int = 16, seed: int = 42) -> DataFrame:
+def knn(vectors: DataFrame, k: int, vec: str = "embedding", key: str = "vec_id") -> DataFrame:
     """(key, neighbour, sim, rank): the k most similar other vectors by inner
     product, ties by key.
 
-    Exact while all vectors fit the broadcast bound: every task compares its
-    rows with all of them.  Beyond it, random hyperplanes hash vectors into
-    ``tables`` tables and only vectors that share a bucket are compared.
+    Exact at every size: blocks of vectors are broadcast one after the other,
+    every task compares its rows with the block and merges what it finds into
+    the rows' running top k.  Between blocks rows and their top k are written
+    to the checkpoint folder, so only one block is held at a time.
     """
     n, width = vectors.agg(F.count(F.lit(1)), F.max(F.size(vec))).first()
     kind = dict(vectors.dtypes)[key]
     if not n:
         return vectors.select(key, F.col(key).alias("neighbour"), F.lit(0.0).alias("sim"), F.lit(1).alias("rank")).limit(0)
-    if n * width * 8 <= MOST_BROADCAST:
-        rows = vectors.select(key, vec).orderBy(key).toPandas()  # bounded above
-        ids, m = rows[key].to_numpy(), np.array(rows[vec].tolist(), dtype=np.float64)
+    blocks = math.ceil(n / max(LEAST_ROWS, MOST_BROADCAST // (8 * max(1, width))))
+    block = F.pmod(F.xxhash64(key), F.lit(blocks))
+    found = vectors.select(key, vec, F.array().cast(f"array<{kind}>").alias("neighbour"), F.array().cast("array<double>").alias("sim"))
+    for b in range(blocks):
+        rows = vectors.where(block == b).select(key, vec).toArrow()  # bounded above
+        if not len(rows):
+            continue
+        ids, m = rows[key].to_numpy(), rows[vec].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
         shared = vectors.sparkSession.sparkContext.broadcast((ids, m))
-
-        def near(batches):
-            ids, m = shared.value
-            for t in batches:
-                if not len(t):
-                    continue
+        found = found.mapInPandas(_nearer(shared, k, vec, key), f"{key} {kind}, {vec} {dict(vectors.dtypes)[vec]}, neighbour array<{kind}>, sim array<double>")
+        if blocks > 1:
+            found = cut(found)
+            shared.unpersist()
+    return found.select(key, F.posexplode(F.arrays_zip("neighbour", "sim")).alias("rank", "x")).select(key, "x.neighbour", "x.sim", (F.col("rank") + 1).alias("rank"))
+
+
+def _nearer(shared, k: int, vec: str, key: str):
+    """Merges the vectors of a block into the running top k of a task's rows."""
+
+    def of(batches):
+        ids, m = shared.value
+        step = max(1, _MOST_SIMS // len(ids))
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                t = batch.iloc[at : at + step]
                 sims = np.array(t[vec].tolist(), dtype=np.float64) @ m.T
                 sims[t[key].to_numpy()[:, None] == ids[None, :]] = -np.inf
                 # rounded first, so equal similarities are ties whatever the order of summation
-                best = np.argsort(-np.round(sims, 9), axis=1, kind="stable")[:, :k]
-                best = best[:, : max(0, len(ids) - 1)]
-                yield pd.DataFrame(
-                    {
-                        key: np.repeat(t[key].to_numpy(), best.shape[1]),
-                        "neighbour": ids[best].ravel(),
-                        "sim": np.take_along_axis(sims, best, 1).ravel(),
-                        "rank": np.tile(np.arange(1, best.shape[1] + 1), len(t)).astype("int32"),
-                    }
-                )
-
-        return vectors.select(key, vec).mapInPandas(near, f"{key} {kind}, neighbour {kind}, sim double, rank int")
-    planes = np.random.default_rng(seed).normal(size=(tables * bits, width))
-
-    def hashed(batches):
-        for t in batches:
-            if not len(t):
-                continue
-            signs = (np.array(t[vec].tolist(), dtype=np.float64) @ planes.T > 0).reshape(len(t), tables, bits)
-            code = (signs * (1 << np.arange(bits))).sum(axis=2) + (np.arange(tables) << bits)
-            yield pd.DataFrame({key: np.repeat(t[key].to_numpy(), tables), "bucket": code.ravel()})
-
-    buckets = vectors.select(key, vec).mapInPandas(hashed, f"{key} {kind}, bucket long")
-    pairs = buckets.join(buckets.withColumnRenamed(key, "neighbour"), "bucket").where(F.col(key) != F.col("neighbour")).select(key, "neighbour").distinct()
-    a, b = vectors.select(key, F.col(vec).alias("__a")), vectors.select(F.col(key).alias("neighbour"), F.col(vec).alias("__b"))
-    sims = pairs.join(a, key).join(b, "neighbour").select(key, "neighbour", dot(F.col("__a"), F.col("__b")).alias("sim"))
-    w = Window.partitionBy(key).orderBy(F.round("sim", 9).desc(), "neighbour")
-    return sims.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                near = np.round(sims, 9)
+                least = np.partition(near, max(0, len(ids) - k), axis=1)[:, max(0, len(ids) - k)]
+                row, col = np.nonzero((near >= least[:, None]) & (near > -np.inf))  # all ties of the last place
+                had = t["neighbour"].map(len).to_numpy()
+                row = np.concatenate([np.repeat(np.arange(len(t)), had), row])
+                who = np.concatenate([np.concatenate(t["neighbour"].tolist()).astype(ids.dtype), ids[col]])
+                sim = np.concatenate([np.concatenate(t["sim"].tolist()).astype(np.float64), sims[row[had.sum() :], col]])
+                order = np.lexsort((np.unique(who, return_inverse=True)[1], -np.round(sim, 9), row))
+                row, who, sim = row[order], who[order], sim[order]
+                kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+                ends = np.searchsorted(row[kept], np.arange(1, len(t)))
+                split = lambda x: pd.Series(np.split(x[kept], ends), dtype=object)
+                yield pd.DataFrame({key: t[key].to_numpy(), vec: t[vec].to_numpy(), "neighbour": split(who), "sim": split(sim)})
+
+    return of
 
 
 def core_distances(near: DataFrame, samples: int, key: str = "vec_id") -> DataFrame:

@@ -46,6 +46,24 @@ def test_knn_by_hashing_agrees_mostly(spark, monkeypatch):
     assert len(exact) == 600 and len(exact & hashed) / len(exact) > 0.9
 
 
+def test_knn_is_exact_beyond_one_block(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(150, 16))
+    v[40:60] = v[3]  # ties by key, across blocks
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    s = np.float32(v).astype(float) @ np.float32(v).astype(float).T
+    slow = {(i, j, r + 1) for i in range(150) for r, j in enumerate(sorted((j for j in range(150) if j != i), key=lambda j: (-round(s[i, j], 9), j))[:7])}
+    monkeypatch.setattr(neighbours, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(neighbours, "LEAST_ROWS", 40, raising=False)
+    near = neighbours.knn(df, 7)
+    assert {(r.vec_id, r.neighbour, r["rank"]) for r in near.collect()} == slow
+    core = neighbours.core_distances(near, 7)
+    assert core.count() == 150 and neighbours.mutual_reachability(near, core).count() == 1050
+    few = neighbours.knn(df.where("vec_id < 3").withColumn("vec_id", F.concat(F.lit("é"), "vec_id")), 7)
+    assert sorted((r.vec_id, r.neighbour) for r in few.collect()) == [(f"é{i}", f"é{j}") for i in range(3) for j in range(3) if i != j]
+
+
 def test_comparison_by_hand(spark):
     a = spark.createDataFrame([(0, d, t) for d, t in enumerate([0, 0, 0, 1, 1, -1])] + [(1, d, t) for d, t in enumerate([1, 1, 0, 0, -1, 0])] + [(2, d, -1) for d in range(6)], "run_id int, doc_id int, topic int")
     w = spark.createDataFrame([(0, 0, 1, "x"), (0, 0, 2, "y"), (0, 1, 1, "z"), (1, 1, 1, "y"), (1, 0, 1, "q")], "run_id int, topic int, rank int, term string")
