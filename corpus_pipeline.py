@@ -24,24 +24,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the one with the least doc_id.
+    """One document of each group stays: the one with the least doc_id, rows
+    without one last, and of rows with equal doc_id the one with the least text
+    hash; of rows equal in both, the first by their other columns.
 
-    Of rows with equal doc_id the one with the least text hash stays; rows
-    whose doc_id is null belong to a group only through their text, so one of
-    them stays where a group has no other.
+    Groups are told apart by their root, so each keeps a document whether or
+    not its doc_id is null or stands in other groups too.
     """
     ship(spark)
     # small rows decide; texts only meet the decision
-    keyed = docs.withColumn("__th", F.xxhash64("text"))
-    found = cut(neardup.classes(docs))
-    # the group of a document is that of its id and fingerprint; ids that repeat have several fingerprints
-    leads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "component_id").distinct()
-    stay = keyed.join(leads, keyed["doc_id"].eqNullSafe(leads["doc_id"]), "left_semi")
-    ids = stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if ids.isEmpty():
+    th = F.xxhash64("text")
+    found = cut(neardup.rooted(docs.withColumn("__th", th), carry=("__th",)))
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("__th").alias("__th"))).alias("lead")
+    first = found.groupBy("root").agg(lead).select("root", "lead.*")
+    # a text has one fingerprint and so one root: within a doc_id, the hash of the text tells the group
+    own = found.select("root", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("__th").alias("__th"))
+    leads = cut(own.join(first, ["root", "__none", "__id", "__th"]).groupBy("__none", "__id", "__th").agg(F.count(F.lit(1)).alias("n")))
+    keyed = docs.select("*", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), th.alias("__th"))
+    stay = keyed.join(leads.select("__none", "__id", "__th"), ["__none", "__id", "__th"], "left_semi")
+    if leads.where("n > 1").isEmpty():
         return stay.select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("__th", *[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
-    return stay.withColumn("__n", first).where("__n = 1").select(*docs.columns)
+    number = F.row_number().over(Window.partitionBy("__none", "__id", "__th").orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
+    return stay.withColumn("__n", number).where("__n = 1").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

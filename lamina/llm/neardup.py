@@ -50,10 +50,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def simhash(docs: DataFrame, words: int = 4) -> DataFrame:
-    """(doc_id, fp): fp as a signed long; its bits are set where over half of
-    the shingles' XXH64 (seed 42) have them set."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def simhash(docs: DataFrame, words: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carry, fp): fp as a signed long; its bits are set where over half
+    of the shingles' XXH64 (seed 42) have them set.  ``carry`` names columns of
+    longs that go along."""
+    names = ["doc_id", *carry]
+    schema = pa.schema([(c, pa.int64()) for c in (*names, "fp")])
 
     def fingerprint(text: str | None) -> int:
         import xxhash
@@ -75,10 +77,10 @@ def simhash(docs: DataFrame, words: int = 4) -> DataFrame:
 
     def of(batches):
         for batch in batches:
-            fps = [fingerprint(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps, pa.int64())], schema=schema)
+            fps = [fingerprint(t.as_py()) for t in batch.column(len(names))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(pa.int64()) for i in range(len(names))], pa.array(fps, pa.int64())], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, fp long")
+    return docs.select(*names, "text").mapInArrow(of, ", ".join(f"{c} long" for c in (*names, "fp")))
 
 
 def layout(count: int, radius: int = 4) -> tuple[tuple[int, int], ...]:
@@ -161,12 +163,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 def classes(docs: DataFrame, words: int = 4, radius: int = 4, hot: int = 1000) -> DataFrame:
     """(doc_id, fp, component_id) of every document."""
-    prints = cut(simhash(docs, words))
+    return rooted(docs, words, radius, hot).select("doc_id", "fp", "component_id")
+
+
+def rooted(docs: DataFrame, words: int = 4, radius: int = 4, hot: int = 1000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, carry, fp, root, component_id) of every document; root, a
+    fingerprint, tells groups apart also where no row has a doc_id or several
+    groups have the same."""
+    prints = cut(simhash(docs, words, carry))
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     joined = components(links(nodes.select("fp"), nodes.count(), radius, hot))
-    rooted = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    roots = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(roots.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", *carry, "fp", "root", "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

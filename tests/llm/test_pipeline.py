@@ -45,3 +45,14 @@ def test_run_equals_the_stages_and_survives_an_empty_table(spark, small, tmp_pat
     spark.read.parquet(f"{small}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_each_group_keeps_one_row_with_null_or_repeated_ids(spark):
+    body = lambda k: " ".join(f"w{k}y{i}" for i in range(60))
+    # lone texts without ids; a copy without id of one that has an id; one id with two lone texts, one with a copy and a lone text
+    rows = [(None, body(i), "a") for i in range(5)] + [(1, body(20), "a"), (None, body(20), "a"), (2, body(30), "a"), (2, body(31), "a"), (3, body(20), "a"), (3, body(40), "a")]
+    rows += [(None, body(0), "b"), (None, body(0), "a"), (4, body(50), "b"), (4, body(50), "a"), (5, None, "a"), (None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=str)
+    assert got == sorted([(None, body(i), "a") for i in range(5)] + [(1, body(20), "a"), (2, body(30), "a"), (2, body(31), "a"), (3, body(40), "a"), (4, body(50), "a"), (5, None, "a")], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.where("text IS NULL OR doc_id = 1"), "").count() == 2
