@@ -2,6 +2,8 @@
 
 Texts are cut into sentences, which are normalised to lower-case letters and
 digits; a sentence that equals a known licence sentence gets its identifier.
+A known sentence that is itself cut in parts has to be there
+with all of them, in sequence.
 The identifiers of a text, in order, form a sequence, and the first rule of an
 ordered list whose own sequence occurs in it without gaps names the licence.
 
@@ -74,19 +76,41 @@ RULES: list[tuple[tuple[str, ...], str]] = [
     (("mit-name",), "MIT"),
     (("reserved",), "proprietary"),
 ]
+#: Texts that go on after a known sentence's end, where a licence's name does.
+_GOES_ON = {"This Source Code Form is subject to the terms of the Mozilla Public License, v.": " 2.0."}
 _CUT = r"([.!?;:])[ \t]+"
+_END = r"(?<=[.!?;:])[ \t]+|\n"
 
 
 def normalise(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip(" ")
 
 
-def _sentences(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, _CUT, "$1\n"), "\n")
+def known_parts() -> list[tuple[str, str]]:
+    """(normalised sentence, identifier); parts of one that is cut have
+    identifiers with /1, /2 ..."""
+    out = set()
+    for k, ss in SENTENCES.items():
+        for s in ss:
+            parts = re.sub(_CUT, "\\1\n", s + _GOES_ON.get(s, "")).split("\n")
+            out |= {(normalise(p), f"{k}/{i}" if len(parts) > 1 else k) for i, p in enumerate(parts, 1)}
+    return sorted(out)
+
+
+def _whole(ids: Column) -> Column:
+    """ids, an array: parts in sequence become their sentence, other parts go."""
+    parts: dict[str, list[str]] = {}
+    for sid in sorted({sid for _, sid in known_parts() if "/" in sid}):
+        parts.setdefault(sid.split("/")[0], []).append(sid)
+    joined = F.array_join(ids, " ")
+    for k, p in parts.items():
+        joined = F.replace(joined, F.lit(" ".join(p)), F.lit(k))
+    return F.filter(F.split(joined, " "), lambda x: ~x.contains("/"))
 
 
 def known_sentences() -> list[tuple[str, str]]:
-    """(normalised sentence, identifier); one that the cut divides counts by its first part."""
+    """(normalised sentence, identifier) of the SQL, where one that the cut
+    divides counts by its first part; ``scan`` asks for all of ``known_parts``."""
     first = lambda s: re.sub(_CUT, "\\1\n", s).split("\n")[0]
     return sorted({(normalise(first(s)), k) for k, ss in SENTENCES.items() for s in ss})
 
@@ -95,14 +119,16 @@ def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, sentence_ids, license) of every document; license
     is null where no rule matches, sentence_ids are joined by blanks."""
     spark = docs.sparkSession
-    known = spark.createDataFrame(known_sentences(), "norm string, sid string")
+    table = known_parts()
+    known = spark.createDataFrame(table, "norm string, sid string")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
-    cut_up = keyed.select("doc_id", "th", F.posexplode(_sentences(F.col("text"))).alias("pos", "s"))
-    # every known sentence has a word of four letters or more; shorter lines never match
+    cut_up = keyed.select("doc_id", "th", F.posexplode(F.split("text", _END)).alias("pos", "s"))
     norm = F.trim(F.regexp_replace(F.lower("s"), "[^a-z0-9]+", " "))
-    hits = cut_up.where(F.length("s") >= min(len(n) for n, _ in known_sentences())).select("doc_id", "th", "pos", norm.alias("norm")).join(F.broadcast(known), "norm")
+    shortest = min(len(n) for n, _ in table)
+    hits = cut_up.where(F.length("s") >= shortest).select("doc_id", "th", "pos", norm.alias("norm")).join(F.broadcast(known), "norm")
     seqs = hits.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("pos", "sid"))).alias("found"))
-    seqs = seqs.select("doc_id", "th", F.size("found").cast("long").alias("n_sentences"), F.array_join(F.col("found.sid"), " ").alias("sentence_ids"))
+    seqs = seqs.select("doc_id", "th", _whole(F.col("found.sid")).alias("ids")).where(F.size("ids") > 0)
+    seqs = seqs.select("doc_id", "th", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", " ").alias("sentence_ids"))
     padded = F.concat(F.lit(" "), "sentence_ids", F.lit(" "))
     name = F.coalesce(*[F.when(padded.contains(f" {' '.join(seq)} "), F.lit(lic)) for seq, lic in RULES])
     named = seqs.withColumn("license", name)

@@ -25,6 +25,15 @@ def test_licences_equal_sql_and_rules(spark):
     assert again.count() == 10 and again.where("doc_id = 3 AND n_sentences = 1").count() == 2 and licenses.scan(docs.limit(0)).count() == 0
 
 
+def test_licence_sentences_count_whole_only(spark):
+    gpl3 = licenses.SENTENCES["gpl-later"][0]
+    gpl2 = gpl3.replace("software: you", "software; you").replace("version 3", "version 2")
+    texts = [gpl3, gpl2, gpl3.replace("General", "Affero General"), "We say: this program is free software. Take it.", "Subject. " + licenses.SENTENCES["mpl2-name"][0] + " 2.0. If a copy", licenses.SENTENCES["mpl2-name"][0] + " 1.1. If", f"{gpl3} {gpl3}"]
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    none = (0, "", None)
+    assert got == {0: (1, "gpl-later", "GPL-3.0-or-later"), 1: none, 2: none, 3: none, 4: (1, "mpl2-name", "MPL-2.0"), 5: none, 6: (2, "gpl-later gpl-later", "GPL-3.0-or-later")}
+
+
 def test_secret_forest_on_held_out_findings():
     x, y = ss.training_table(1500, seed=71)
     p = sum(trees.tree_values(t, x) for t in ss.fitted()) / len(ss.fitted())
