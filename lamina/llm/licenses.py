@@ -2,7 +2,8 @@
 
 Texts are cut into sentences, which are normalised to lower-case letters and
 digits; a sentence that equals a known licence sentence gets its identifier.
-A known sentence that is itself cut in parts has to be there
+Sentences may be wrapped over lines, with comment marks or without; lines count
+as sentences too.  A known sentence that is itself cut in parts has to be there
 with all of them, in sequence.
 The identifiers of a text, in order, form a sequence, and the first rule of an
 ordered list whose own sequence occurs in it without gaps names the licence.
@@ -79,7 +80,10 @@ RULES: list[tuple[tuple[str, ...], str]] = [
 #: Texts that go on after a known sentence's end, where a licence's name does.
 _GOES_ON = {"This Source Code Form is subject to the terms of the Mozilla Public License, v.": " 2.0."}
 _CUT = r"([.!?;:])[ \t]+"
-_END = r"(?<=[.!?;:])[ \t]+|\n"
+#: Sentences end after punctuation and at blank lines; comment marks don't fill a line.
+_END = r"(?<=[.!?;:])(?:[ \t\r]*+\n|[ \t]++)|\n(?=[ \t\r#*/;-]*+\n)"
+
+_EDGES = r"^[^a-z0-9]++|(?<![^a-z0-9])[^a-z0-9]++\z"
 
 
 def normalise(sentence: str) -> str:
@@ -123,10 +127,14 @@ def scan(docs: DataFrame) -> DataFrame:
     known = spark.createDataFrame(table, "norm string, sid string")
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     cut_up = keyed.select("doc_id", "th", F.posexplode(F.split("text", _END)).alias("pos", "s"))
-    norm = F.trim(F.regexp_replace(F.lower("s"), "[^a-z0-9]+", " "))
+    # a sentence of several lines counts as a whole, and each of its lines; lines without words at its ends are none of them
+    cut_up = cut_up.select("doc_id", "th", "pos", F.regexp_replace(F.lower("s"), _EDGES, "").alias("s"))
     shortest = min(len(n) for n, _ in table)
-    hits = cut_up.where(F.length("s") >= shortest).select("doc_id", "th", "pos", norm.alias("norm")).join(F.broadcast(known), "norm")
-    seqs = hits.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("pos", "sid"))).alias("found"))
+    lines = F.when(F.col("s").contains("\n"), F.concat(F.array("s"), F.split("s", "\n"))).otherwise(F.array("s"))
+    cut_up = cut_up.where(F.length("s") >= shortest).select("doc_id", "th", "pos", F.posexplode(lines).alias("line", "s"))
+    norm = F.trim(F.regexp_replace("s", "[^a-z0-9]+", " "))
+    hits = cut_up.where(F.length("s") >= shortest).select("doc_id", "th", "pos", "line", norm.alias("norm")).join(F.broadcast(known), "norm")
+    seqs = hits.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set(F.struct("pos", "line", "sid"))).alias("found"))
     seqs = seqs.select("doc_id", "th", _whole(F.col("found.sid")).alias("ids")).where(F.size("ids") > 0)
     seqs = seqs.select("doc_id", "th", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", " ").alias("sentence_ids"))
     padded = F.concat(F.lit(" "), "sentence_ids", F.lit(" "))

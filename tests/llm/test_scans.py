@@ -34,6 +34,19 @@ def test_licence_sentences_count_whole_only(spark):
     assert got == {0: (1, "gpl-later", "GPL-3.0-or-later"), 1: none, 2: none, 3: none, 4: (1, "mpl2-name", "MPL-2.0"), 5: none, 6: (2, "gpl-later gpl-later", "GPL-3.0-or-later")}
 
 
+def test_wrapped_licence_sentences(spark):
+    import textwrap
+
+    known = licenses.SENTENCES
+    mit = "\n\n".join(textwrap.fill(known[k][0], 72) for k in ("mit-grant", "mit-notice", "as-is"))
+    bsd = "\n".join(textwrap.fill(f"{i}. {known[k][0]}" if i else known[k][0], 76) for i, k in enumerate(("bsd-grant", "bsd-source", "bsd-binary")))
+    marks = lambda t, m: "\n".join((m + line).rstrip() for line in t.split("\n"))
+    texts = ["MIT License\n\nCopyright (c) X\nAll rights reserved.\n\n" + mit, marks(mit, "# "), "/*\n" + marks(bsd, " * ") + "\n */", marks(known["gpl-later"][0].replace("under", "under\n"), "// "), mit.replace("\n", "\r\n"), "All rights\n\nreserved.", "x\n\n--\nAll rights reserved.\n"]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license for r in rows} == {0: "MIT", 1: "MIT", 2: "BSD-2-Clause", 3: "GPL-3.0-or-later", 4: "MIT", 5: None, 6: "proprietary"}
+    assert [r.n_sentences for r in rows if r.doc_id == 6] == [1]
+
+
 def test_secret_forest_on_held_out_findings():
     x, y = ss.training_table(1500, seed=71)
     p = sum(trees.tree_values(t, x) for t in ss.fitted()) / len(ss.fitted())
