@@ -29,9 +29,10 @@ TRAIN_ROWS = 4000
 KINDS = ("prefixed", "assigned", "key_block", "mixed")
 _PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,80}|glpat-[A-Za-z0-9_-]{16,40}|xox[abpr]-[A-Za-z0-9-]{10,80}|sk_live_[A-Za-z0-9]{16,60}|AIza[A-Za-z0-9_-]{30,40}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![A-Za-z0-9])")
 _HINTS = ("AKIA", "ASIA", "gh", "glpat-", "xox", "sk_live_", "AIza", "eyJ")
-_ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?[\"']?\s{0,3}(?:=|:|=>)\s{0,3}[\"']?([^\s\"'<>,;]{6,200})")
-_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{0,10000}(?:-----END [A-Z ]{0,30}PRIVATE KEY-----)?")
-_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,200}={0,2}(?![A-Za-z0-9+/_=-])")
+_ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?[\"']?\s{0,3}(?:=|:|=>)\s{0,3}[\"']?([^\s\"'<>,;]{6,})")
+#: A key block goes to its END line, header lines with hyphens included; one without END, as one before another BEGIN, to its first hyphen.
+_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z ]{0,30}PRIVATE KEY-----|[^-]*+)")
+_MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 _PIECES = re.compile(
     "the|and|tion|ing|that|with|for|ment|ent|able|ble|ness|ous|con|pro|pre|com|der|die|das|ung|heit|keit|sch|ein|ich|que|les|des|eau|eux|ello|ado|ando|example|sample|test|dummy|placeholder|change|your|password|secret|token|user|admin|"
     "null|none|true|false|default|value|string|key|here|name|file|path|data|version|config|http|www|html|json|class|function"
