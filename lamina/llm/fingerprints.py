@@ -10,6 +10,7 @@ weight of 2**31 for a text.
 ``near_pairs`` finds every pair of fingerprints within a Hamming radius by
 permuted block tables: of radius + 1 + extra blocks some set of 1 + extra
 blocks must agree, so each table keys fingerprints by one such set of blocks.
+Blocks go over all lanes; hot ones are compared chunk by chunk.
 
 Only column expressions run here.  Rows: null and empty texts have the zero
 fingerprint; texts shorter than a shingle count as one term; rows that repeat
@@ -80,24 +81,51 @@ def likeness(a: list[Column], b: list[Column]) -> Column:
     return F.lit(1.0) - differing / F.lit(64.0 * len(a))
 
 
-def near_pairs(df: DataFrame, radius: int, blocks: int | None = None, fp: str = "fp") -> DataFrame:
-    """(a, b, distance), a < b: all pairs of different 64-bit fingerprints in
-    ``df`` that differ in at most ``radius`` bits.
+def near_pairs(df: DataFrame, radius: int, blocks: int | None = None, fp: str | list[str] = "fp", hot: int = 1000) -> DataFrame:
+    """(a, b, distance), a < b: all pairs of different fingerprints in ``df``
+    that differ in at most ``radius`` bits.
+
+    ``fp`` names a column of 64-bit longs, or several, the lanes of one
+    fingerprint: blocks and distances go over all their bits, and a and b are
+    arrays.  A block that more than ``hot`` fingerprints share is compared
+    chunk by chunk, so no key of the join has more than about 2 * ``hot`` rows.
 
     Copies are one class here: who has a fingerprint is told by ``df`` itself.
     """
+    lanes = [fp] if isinstance(fp, str) else fp
     blocks = blocks or radius + 2
     if blocks <= radius:
         raise ValueError("more blocks than differing bits are needed")
-    ends = [round(64 * i / blocks) for i in range(blocks + 1)]
-    block = lambda c, i: F.shiftrightunsigned(c, ends[i]).bitwiseAND(F.lit(-1 if blocks == 1 else (1 << (ends[i + 1] - ends[i])) - 1))
+    ends = [round(64 * len(lanes) * i / blocks) for i in range(blocks + 1)]
+
+    def block(i: int) -> list[Column]:
+        """The bits of block i, a long for each lane that it meets."""
+        parts = []
+        for lane in range(len(lanes)):
+            lo, hi = max(ends[i], 64 * lane) - 64 * lane, min(ends[i + 1], 64 * lane + 64) - 64 * lane
+            if lo < hi:
+                parts.append(F.shiftrightunsigned(F.get("fp", F.lit(lane)), lo).bitwiseAND(F.lit(-1 if hi - lo == 64 else (1 << (hi - lo)) - 1)))
+        return parts
+
+    distinct = df.select(F.array(*lanes).alias("fp")).where(~F.exists("fp", lambda x: x.isNull())).distinct()
     sets = list(combinations(range(blocks), blocks - radius))
-    distinct = df.select(F.col(fp).alias("fp")).where("fp IS NOT NULL").distinct()
-    keys = F.array(*[F.xxhash64(F.lit(i), *[block(F.col("fp"), j) for j in s]) for i, s in enumerate(sets)])
+    keys = F.array(*[F.xxhash64(F.lit(i), *[c for j in s for c in block(j)]) for i, s in enumerate(sets)])
     rows = distinct.select("fp", F.explode(keys).alias("k"))
-    d = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    found = rows.withColumnRenamed("fp", "a").join(rows.withColumnRenamed("fp", "b"), "k")
-    return found.where((F.col("a") < F.col("b")) & (d <= radius)).select("a", "b", d.alias("distance")).distinct()
+    # chunks of a hot block meet in pairs; all others have one chunk
+    crowds = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("k", F.ceil(F.col("n") / hot).cast("int").alias("chunks"))
+    rows = rows.join(crowds, "k", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    own = F.pmod(F.xxhash64("fp", F.lit("chunk")), F.col("chunks")).cast("int")
+    rows = rows.withColumn("own", own).select("fp", "k", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    rows = rows.select("fp", "k", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    d = reduce(lambda x, y: x + y, [F.bit_count(F.get("a", F.lit(i)).bitwiseXOR(F.get("b", F.lit(i)))) for i in range(len(lanes))])
+    found = rows.withColumnRenamed("fp", "a").join(rows.withColumnRenamed("fp", "b"), ["k", "lo", "hi"])
+    found = found.where((F.col("a") < F.col("b")) & (d <= radius)).select("a", "b", d.alias("distance")).distinct()
+    return found if len(lanes) > 1 or not isinstance(fp, str) else found.select(F.get("a", F.lit(0)).alias("a"), F.get("b", F.lit(0)).alias("b"), "distance")
+
+
+def lanes_of(hexed: Column, lanes: int = LANES) -> list[Column]:
+    """The lanes, as signed longs, of a fingerprint that ``as_hex`` wrote."""
+    return [F.conv(F.substring(hexed, 16 * i + 1, 16), 16, -10).cast("long") for i in range(lanes)]
 
 
 def in_order(docs: DataFrame) -> DataFrame:

@@ -75,3 +75,18 @@ def test_tables_find_all_pairs(spark):
         got = {(r.a, r.b, r.distance) for r in fp.near_pairs(spark.createDataFrame([(f,) for f in fps] + [(fps[0],), (None,)], "fp long"), radius, blocks).collect()}
         d = lambda a, b: bin((a ^ b) & M).count("1")
         assert got == {(a, b, d(a, b)) for i, a in enumerate(fps) for b in fps[i + 1 :] if d(a, b) <= radius}
+
+
+def test_neighbours_of_whole_fingerprints(spark):
+    rng = random.Random(8)
+    base = [[rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(300)] for _ in range(6)]
+    rows = [(i, " ".join(base[i % 6][: 300 - i // 6] + [f"x{i}"])) for i in range(48)]
+    made = fp.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    lanes = made.select(*[c.alias(f"h{i}") for i, c in enumerate(fp.lanes_of(made["fingerprint"]))])
+    whole = sorted({r.fingerprint for r in made.collect()})
+    d = lambda a, b: bin(int(a, 16) ^ int(b, 16)).count("1")
+    for blocks, hot in ((None, 1000), (9, 4)):
+        got = fp.near_pairs(lanes, 6, blocks, ["h0", "h1"], hot).collect()
+        as_hex = lambda x: "".join(f"{v & M:016x}" for v in x)
+        found = {(*sorted((as_hex(r.a), as_hex(r.b))), r.distance) for r in got}
+        assert len(found) == len(got) > 0 and found == {(a, b, d(a, b)) for i, a in enumerate(whole) for b in whole[i + 1 :] if d(a, b) <= 6}
