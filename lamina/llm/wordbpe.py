@@ -10,7 +10,8 @@ as the stock encoder starts from them.
 Only texts whose every character lies in the ranges where the two Unicode
 tables certainly agree take that way (``FAST``).  All others go through the
 stock encoder, so ids never depend on the route (``tests/llm/test_packing.py``
-compares both).  Special tokens written out in a text are ordinary text.
+compares both).  Special tokens written out in a text are special tokens there
+as well: such texts take the stock encoder too.
 """
 
 from __future__ import annotations
@@ -56,11 +57,12 @@ class WordBpe:
         from tokenizers import Tokenizer
 
         self.stock = Tokenizer.from_file(path)
-        self.stock.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         back, ranks = _byte_chars(), {}
         special = {t["content"] for t in spec["added_tokens"]}
+        # added tokens may be matched in the normalised text, which is lower-cased
+        self.special = tuple(sorted(t.lower() for t in special))
         for token, i in spec["model"]["vocab"].items():
             if token in special:
                 continue
@@ -75,9 +77,15 @@ class WordBpe:
             return b""
         return self.fast.encode_to_numpy(" ".join(pieces) + " ").astype("<u4", copy=False).tobytes()
 
+    def _names_special(self, text: str) -> bool:
+        if not any(t[0] in text or t[0].upper() in text for t in self.special):
+            return False
+        low = text.lower()
+        return any(t in low for t in self.special)
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _SLOW.search(text) or _DOT in text:
+        if _SLOW.search(text) or _DOT in text or self._names_special(text):
             return np.array(self.stock.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join(map(self.words.__getitem__, text.split()))

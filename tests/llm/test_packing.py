@@ -1,9 +1,11 @@
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from lamina.llm import packing
 from lamina.llm.wordbpe import WordBpe
@@ -14,11 +16,16 @@ def model():
     return WordBpe(packing.vocabulary_path())
 
 
+@lru_cache(maxsize=1)
+def _untouched():
+    return Tokenizer.from_file(packing.vocabulary_path())
+
+
 def _stock(model, text):
-    return model.stock.encode(text, add_special_tokens=False).ids
+    return _untouched().encode(text, add_special_tokens=False).ids
 
 
-EDGES = ["", " ", "it's I'LL 'start don't", "a²b½ ÀÉ ÿĀ", "<|endoftext|> <|startoftext|>x", "İstanbul ΣΑΣ", "a\x1cb\x1fc", "“q” — 10€…", "é x\xa0y ", "é ﬁ 漢字 🎉🎉", "x" * 5000, "a.b,c!!??", "\t\n\r\x0b\x0c", "\x00\x7f"]
+EDGES = ["", " ", "it's I'LL 'start don't", "a²b½ ÀÉ ÿĀ", "<|endoftext|> <|startoftext|>x", "hello <|endoftext|> world", "a<|startoftext|>b<|EndOfText|> <|endoftext", "<|", "x < y |> z", "İstanbul ΣΑΣ", "a\x1cb\x1fc", "“q” — 10€…", "é x\xa0y ", "é ﬁ 漢字 🎉🎉", "x" * 5000, "a.b,c!!??", "\t\n\r\x0b\x0c", "\x00\x7f"]
 
 
 @pytest.mark.parametrize("text", EDGES)
