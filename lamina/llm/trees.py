@@ -102,11 +102,35 @@ def forest_value(forest: list, row) -> float:
 
 
 def threshold_for(scores: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """The least threshold at which held-out precision is reached (0.5 at least)."""
-    order = np.argsort(-scores)
-    hits = np.cumsum(y[order])
-    ok = hits / np.arange(1, len(y) + 1) >= precision
-    return max(0.5, float(scores[order][np.flatnonzero(ok)[-1]])) if ok.any() else 1.1
+    """The threshold that selects the most rows at the wanted precision, put
+    half-way to the next lower score; infinite if there is none."""
+    order = np.argsort(-scores, kind="stable")
+    s, hits = scores[order], np.cumsum(y[order])
+    # equal scores are selected together
+    last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
+    ok = np.flatnonzero((hits / np.arange(1, len(s) + 1) >= precision) & last)
+    if not len(ok):
+        return float("inf")
+    return float((s[ok[-1]] + s[ok[-1] + 1]) / 2 if ok[-1] + 1 < len(s) else s[ok[-1]])
+
+
+def as_arrays(trees: list, depth: int) -> tuple[list[int], list[float], list[float]]:
+    """Trees as full binary ones in flat arrays: the inner nodes' features and
+    thresholds, tree by tree and level by level (2**depth - 1 each), and the
+    leaves (2**depth each)."""
+    which, cuts, leaves = [], [], []
+    for tree in trees:
+        level = [tree]
+        for _ in range(depth):
+            below = []
+            for node in level:
+                f, cut, low, high = node if isinstance(node, tuple) else (0, 0.0, node, node)
+                which.append(f)
+                cuts.append(cut)
+                below += [low, high]
+            level = below
+        leaves += level
+    return which, cuts, leaves
 
 
 def logistic(z: float) -> float:
