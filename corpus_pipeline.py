@@ -3,13 +3,18 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last keep the columns of ``documents``.  Whoever runs them writes each result
 as Parquet and reads it again for the next, so lineage ends between stages.
+
+All stages: an empty table gives an empty one; texts of any length are read
+whole; further columns stay as they are, whatever their names (stages work on
+whole rows beside columns of their own), but for ``n_chars``, which follows a
+text that a stage changes; the last stage ignores them.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import mixing, neardup, packing, pii, quality
@@ -18,9 +23,14 @@ from lamina.session import ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go; documents that the rules reject go."""
+    """Failing lines go; documents that the rules reject go.
+
+    Shortness alone is no fault here: any text of a word or more may stay, so
+    null and empty texts, and those left without words, go.  Rows are judged one
+    by one, so ties do not arise and rows that repeat are treated alike.
+    """
     ship(spark)
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, least=1)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,35 +43,41 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     ship(spark)
     # small rows decide; texts only meet the decision
-    th = F.xxhash64("text")
-    found = cut(neardup.rooted(docs.withColumn("__th", th), carry=("__th",)))
-    lead = F.min(F.struct(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("__th").alias("__th"))).alias("lead")
-    first = found.groupBy("root").agg(lead).select("root", "lead.*")
+    none, key, th = F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("th")
+    found = cut(neardup.rooted(docs.select("doc_id", "text", th), carry=("th",)).select("root", none, key, "th"))
+    first = found.groupBy("root").agg(F.min(F.struct("none", "id", "th")).alias("lead")).select("root", "lead.*")
     # a text has one fingerprint and so one root: within a doc_id, the hash of the text tells the group
-    own = found.select("root", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("__th").alias("__th"))
-    leads = cut(own.join(first, ["root", "__none", "__id", "__th"]).groupBy("__none", "__id", "__th").agg(F.count(F.lit(1)).alias("n")))
-    keyed = docs.select("*", F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), th.alias("__th"))
-    stay = keyed.join(leads.select("__none", "__id", "__th"), ["__none", "__id", "__th"], "left_semi")
+    keys = ["none", "id", "th"]
+    leads = cut(found.join(first, ["root", *keys]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+    stay = docs.select(F.struct("*").alias("row"), none, key, th).join(leads, keys)
     if leads.where("n > 1").isEmpty():
-        return stay.select(*docs.columns)
-    number = F.row_number().over(Window.partitionBy("__none", "__id", "__th").orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text")]))
-    return stay.withColumn("__n", number).where("__n = 1").select(*docs.columns)
+        return stay.select("row.*")
+    repeated = stay.where("n > 1").groupBy(*keys).agg(F.min("row").alias("row"))
+    return stay.where("n = 1").select("row.*").unionByName(repeated.select("row.*"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Spans of personal data are replaced by their kind in brackets."""
+    """Spans of personal data are replaced by their kind in brackets; overlapping
+    spans become one.  Null texts stay null; rows that repeat are treated alike."""
     ship(spark)
     return pii.redact(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated or left out so that sources meet their targets."""
+    """Documents are repeated or left out so that sources meet their targets.
+
+    Null is a source of its own; null and empty texts have no words and go.
+    Documents of equal size are taken in the order of a hash; rows that repeat
+    share the copies that the mix gives them."""
     ship(spark)
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their places in sequences of 4096."""
+    """Token pieces with their places in sequences of 4096.
+
+    Null and empty texts give one piece, the end id; rows that repeat are
+    documents of their own; pieces of equal length take places by doc_id."""
     ship(spark)
     return packing.pack_documents(docs, packing.vocabulary_path())
 
@@ -74,7 +90,7 @@ STAGES = [
     ("packed_sequences", packed_sequences),
 ]
 
-#: Boosted trees, Newton steps and packing have no SQL form; tests/llm hold each stage against a plain Python version.
+#: Boosted trees, Newton steps and packing have no SQL form; tests/llm hold each stage against plain Python.
 ORACLE_SQL = None
 
 

@@ -7,8 +7,10 @@ shared again by weight.
 Rates: of all document rates r that reach each source's target in words, the
 one closest in entropy to "every document once" is wanted, with r at most 3.
 Its dual is one convex problem per source whose solution tilts exponentially,
-r = min(3, exp(lambda * size)).  Newton steps, kept inside a shrinking bracket,
-solve all sources at once: each round aggregates a (source, size) histogram.
+r = min(3, exp(lambda * size)).  Newton steps, kept inside a shrinking bracket
+that is proven to hold the solution, solve all sources at once: each round
+aggregates a (source, size) histogram.  Should they not settle within the
+rounds allowed, that is an error, never a result.
 
 Copies: documents of a source are taken in order of size (and a hash within a
 size); copies are the steps of the running total of rates, rounded down after a
@@ -17,7 +19,8 @@ by about one of its longest documents at most, however many documents it has.
 
 Rows: null and empty texts have size 0, are kept out of rates and taken 0 times
 whatever the copies; null is a source of its own; rows that repeat are separate
-documents; an empty table gives no rows; other columns pass or are ignored.
+documents; texts of any length are read whole; an empty table gives no rows;
+other columns, whatever their names, pass (``mixed``) or are ignored (``mix``).
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.util import WORD, cut, rank_within
+from lamina.llm.util import WORD, cut, rank_within, skewed_join
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -69,18 +72,18 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: float = MOST_COPIE
     return s.select("sid", "source", "source_size", F.least("most", F.lit(level) * F.col("w")).alias("target"))
 
 
-def rates(histogram: DataFrame, goals: DataFrame, most: float = MOST_COPIES, rounds: int = 60) -> DataFrame:
+def rates(histogram: DataFrame, goals: DataFrame, most: float = MOST_COPIES, rounds: int = 200) -> DataFrame:
     """(sid, lam, mean): the dual variable of each source; a document's rate is
     least(most, exp(lam * size / mean)).
 
     ``histogram`` is (sid, size, n) with positive sizes, ``goals`` (sid,
-    source_size, target).  A target of nearly most times the source, or of
-    nearly nothing, has its solution at the end of the bracket.
+    source_size, target).
     """
-    means = histogram.groupBy("sid").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"))
-    state = cut(
-        goals.where("source_size > 0").join(means, "sid").select("sid", "mean", "target", F.lit(-60.0).alias("lo"), F.lit(6000.0).alias("hi"), F.lit(0.0).alias("lam"), F.lit(False).alias("done"))
-    )
+    means = histogram.groupBy("sid").agg((F.sum(F.col("n") * F.col("size")) / F.sum("n")).alias("mean"), F.min("size").alias("least"))
+    # at hi the shortest documents, and so all, have the full rate; at lo words are at most source_size * exp(lo * least / mean)
+    step = F.col("mean") / F.col("least")
+    hi, lo = step * math.log(most) * 1.01 + 1, -step * F.greatest(F.log(F.col("source_size") / F.col("target")), F.lit(0.0)) * 1.01 - 1
+    state = cut(goals.where("source_size > 0 AND target > 0").join(means, "sid").select("sid", "mean", "target", lo.alias("lo"), hi.alias("hi"), F.lit(0.0).alias("lam"), F.lit(False).alias("done")))
     for _ in range(rounds):
         e = F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(50.0)))
         words, full = F.col("n") * F.col("size"), e >= most
@@ -92,9 +95,10 @@ def rates(histogram: DataFrame, goals: DataFrame, most: float = MOST_COPIES, rou
         lo, hi = F.when(over, F.col("lo")).otherwise(F.col("lam")), F.when(over, F.col("lam")).otherwise(F.col("hi"))
         step = F.col("lam") - (F.col("f") - F.col("target")) / F.when(F.col("slope") > 0, F.col("slope"))
         inside = F.when((step > lo) & (step < hi), step)
-        # outside the bracket: halve it, on a logarithmic scale while it is wide
-        middle = F.when(hi - lo > 8, F.when(over, F.greatest(lo, F.col("lam") * 2 - 1)).otherwise(F.least(hi, F.col("lam") * 2 + 1))).otherwise((lo + hi) / 2)
-        done = (F.abs(F.col("f") - F.col("target")) <= F.greatest(F.lit(TOLERANCE) * F.col("target"), F.lit(1e-6))) | (hi - lo < 1e-12)
+        # outside the bracket: halve it, or double lambda while the bracket is wide
+        stride = F.greatest(F.abs("lam"), F.lit(1.0))
+        middle = F.when(over, F.greatest((lo + hi) / 2, F.col("lam") - stride)).otherwise(F.least((lo + hi) / 2, F.col("lam") + stride))
+        done = (F.abs(F.col("f") - F.col("target")) <= F.greatest(F.lit(TOLERANCE) * F.col("target"), F.lit(1e-6))) | (hi - lo < 1e-12 * F.greatest(F.abs(lo), F.lit(1.0)))
         moved = state.join(sums, "sid", "left").select(
             "sid", "mean", "target",
             F.when(F.col("done"), F.col("lo")).otherwise(lo).alias("lo"),
@@ -105,9 +109,16 @@ def rates(histogram: DataFrame, goals: DataFrame, most: float = MOST_COPIES, rou
         state = cut(moved)
         if state.where("NOT done").isEmpty():
             break
+    else:
+        raise RuntimeError(f"rates did not settle in {rounds} rounds")
     return state.select("sid", "lam", "mean")
 
 
+def _named(source: str) -> Column:
+    """The source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("key")
+
+
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES, keep: list[str] | None = None) -> DataFrame:
     """(doc_id, size, source_size, target, copies[, keep...]) of every row.
 
@@ -126,12 +137,13 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES, keep
     before = Window.partitionBy("sid").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
     steps = steps.withColumn("start", F.coalesce(F.sum(F.col("n") * F.col("rate")).over(before), F.lit(0.0)))
     slots = goals.join(steps, "sid", "left").select("sid", F.col("source").alias("s"), "source_size", "target", "size", "rate", "start")
-    total = sized.count()
-    known = goals.select("sid", F.col("source").alias("s"), "source_size", "target")
-    named = sized.join(known, F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
+    sizes = cut(per.groupBy(_named("source")).agg(F.sum("n").alias("n")))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    known = goals.select("sid", "source_size", "target", _named("source"))
+    named = skewed_join(sized.select("doc_id", "size", "th", _named("source")), known, ["key"], sizes, total).drop("key")
     order = [F.xxhash64("doc_id", "th", F.lit(11)), F.col("doc_id"), F.col("th")]
     ranked = rank_within(named, ["sid", "size"], order, F.xxhash64("doc_id", "th", F.lit(3)), max(1, math.ceil(total / ROWS_PER_BUCKET)))
-    placed = ranked.join(slots.select("sid", "size", "rate", "start"), ["sid", "size"], "left")
+    placed = skewed_join(ranked, slots.select("sid", "size", "rate", "start"), ["sid", "size"], keyed.select("sid", "size", "n"), total, "left")
     # a full rate always gives full copies: the sums then move by whole steps
     run = lambda k: F.floor(F.round(F.col("start") + F.col("rate") * k, 6) + 0.5)
     copies = F.coalesce(run(F.col("rank") + 1) - run(F.col("rank")), F.lit(0))
@@ -141,20 +153,21 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES, keep
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """The rows of docs, each as many times as the mix takes it; columns stay.
 
-    Rows of equal doc_id and text but different other columns share their
-    copies in an unspecified but stable way.
+    Rows of equal doc_id and text share the copies that the mix gives them,
+    in the order of a hash of the whole row.
     """
-    n = mix(docs, weights, most)
-    per = n.groupBy("doc_id", "th").agg(F.sum("copies").alias("__c"), F.count(F.lit(1)).alias("__rows"))
-    per = per.select(F.col("doc_id").alias("__d"), F.col("th").alias("__h"), "__c", "__rows")
-    joined = docs.withColumn("__th", F.xxhash64("text")).join(per, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__th") == F.col("__h")))
-    # repeated rows: the k-th of m gets the k-th share of their copies
-    k = F.row_number().over(Window.partitionBy("doc_id", "__th").orderBy(F.xxhash64(*docs.columns)))
-    share = F.floor(F.col("__c") * F.col("__k") / F.col("__rows")) - F.floor(F.col("__c") * (F.col("__k") - 1) / F.col("__rows"))
-    once = joined.where("__rows = 1").select(*docs.columns, F.col("__c"))
-    many = joined.where("__rows > 1").withColumn("__k", k).select(*docs.columns, share.alias("__c"))
-    taken = once.unionByName(many).where("__c > 0")
-    return taken.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int")))).select(*docs.columns)
+    key = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")]
+    per = mix(docs, weights, most).groupBy(*key, "th").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    joined = docs.select(F.struct("*").alias("row"), *key, F.xxhash64("text").alias("th")).join(per, ["none", "id", "th"])
+    once = joined.where("rows = 1").select("row", "copies")
+    # rows that are equal in all columns become one with their number
+    same = joined.where("rows > 1").groupBy("none", "id", "th", "copies", "rows", "row").agg(F.count(F.lit(1)).alias("m"))
+    h = F.xxhash64("row")
+    spread = rank_within(same, ["none", "id", "th"], [h, F.col("row")], h, 16, weight="m")
+    upto = lambda k: F.floor(F.col("copies") * k / F.col("rows"))
+    many = spread.select("row", (upto(F.col("rank") + F.col("m")) - upto(F.col("rank"))).alias("copies")).where("copies > 0")
+    taken = once.unionByName(many)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
 def op9_mixing_sources(spark, sf_dir: str) -> DataFrame:

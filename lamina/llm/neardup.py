@@ -12,8 +12,10 @@ Nothing is capped.  Where a table bucket holds more than ``hot`` fingerprints,
 its members are not paired up: two fingerprints are within four bits exactly
 if some value lies within two bits of both, so each member is spread to the
 values within half the radius and joined with the least member that reaches
-the same value.  That costs a fixed number of rows per member and keeps every
-component, though not every single link.
+the same value.  That costs a fixed number of rows (2,081) per member of such a
+bucket and keeps every component, though not every single link.  ``layout``
+takes wider keys as fingerprints grow in number, so buckets stay small on
+average and only crowds of texts that differ in few bits take this way.
 
 Rows: null and empty texts have fingerprint zero and are linked like any other;
 texts shorter than a shingle use their whole word sequence; exact copies share
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.util import cut
+from lamina.llm.util import cut, skewed_join
 
 #: (bits, radius) of the segments; radius + 1 over all segments exceeds the Hamming radius by one.
 _LAYOUTS = {
@@ -171,11 +173,14 @@ def rooted(docs: DataFrame, words: int = 4, radius: int = 4, hot: int = 1000, ca
     fingerprint, tells groups apart also where no row has a doc_id or several
     groups have the same."""
     prints = cut(simhash(docs, words, carry))
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    joined = components(links(nodes.select("fp"), nodes.count(), radius, hot))
-    roots = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(roots.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", *carry, "fp", "root", "component_id")
+    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
+    count, rows = nodes.agg(F.count(F.lit(1)), F.sum("n")).first()
+    joined = components(links(nodes.select("fp"), count, radius, hot))
+    roots = cut(nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "n", "least", F.coalesce("root", "fp").alias("root")))
+    ids = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    # copies of one text, or a component of most texts, may be a third of all rows
+    labels = skewed_join(roots.select("fp", "root"), ids.select("root", "component_id"), ["root"], ids.select("root", "n"), count)
+    return skewed_join(prints, labels, ["fp"], nodes.select("fp", "n"), rows or 0).select("doc_id", *carry, "fp", "root", "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -75,7 +75,7 @@ def repeated_words(words: list, size: int = 3) -> int:
     return total
 
 
-def measure(text: str | None, loss: int = LOSS) -> tuple:
+def measure(text: str | None, loss: int = LOSS, least: int = MIN_WORDS) -> tuple:
     """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, cleaned)."""
     text = text or ""
     words = text.encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
@@ -96,7 +96,7 @@ def measure(text: str | None, loss: int = LOSS) -> tuple:
                 lost += size
                 continue
         lines.append(line)
-    failed = n < MIN_WORDS or 100 * repeats > MAX_REPEAT * n
+    failed = n < least or 100 * repeats > MAX_REPEAT * n
     return n, chars, symbols, dups, repeats, failed, not failed and 100 * lost <= loss * n, "\n".join(lines)
 
 
@@ -117,8 +117,9 @@ def judge(docs: DataFrame, loss: int = LOSS, with_text: bool = False) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(of, ddl)
 
 
-def keep_good(docs: DataFrame, loss: int = LOSS) -> DataFrame:
-    """The rows of docs whose text is kept, with failing lines gone; all columns stay.
+def keep_good(docs: DataFrame, loss: int = LOSS, least: int = MIN_WORDS) -> DataFrame:
+    """The rows of docs whose text is kept, with failing lines gone; all columns
+    stay.  Texts of fewer than ``least`` words, and those left without any, go.
 
     ``n_chars``, if there, follows the cleaned text.
     """
@@ -127,9 +128,10 @@ def keep_good(docs: DataFrame, loss: int = LOSS) -> DataFrame:
 
     def of(batches):
         for batch in batches:
-            judged = [measure(t, loss)[-2:] for t in batch.column(names.index("text")).to_pylist()]
-            mask = pa.array([k for k, _ in judged], pa.bool_())
-            texts = [c for k, c in judged if k]
+            judged = [measure(t, loss, least)[-2:] for t in batch.column(names.index("text")).to_pylist()]
+            stays = [k and bool(_WORDS.search(c)) for k, c in judged]
+            mask = pa.array(stays, pa.bool_())
+            texts = [c for k, (_, c) in zip(stays, judged) if k]
             out = batch.filter(mask)
             out = out.set_column(names.index("text"), out.schema.field("text"), pa.array(texts, out.schema.field("text").type))
             if "n_chars" in names:

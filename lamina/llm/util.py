@@ -16,8 +16,9 @@ SPACE = "\\x20\\x09-\\x0D"
 WORD = f"[^{SPACE}]+"
 
 
-def rank_within(df: DataFrame, keys: list[str], order: list[Column], salt: Column, buckets: int, name: str = "rank") -> DataFrame:
-    """df with ``name``: a row's number, from 0, among the rows of equal keys.
+def rank_within(df: DataFrame, keys: list[str], order: list[Column], salt: Column, buckets: int, name: str = "rank", weight: str | None = None) -> DataFrame:
+    """df with ``name``: a row's number, from 0, among the rows of equal keys;
+    with ``weight``, a column of longs, the weights of the rows before it.
 
     A group is cut into ``buckets`` by ``salt``, rows are numbered within each
     and shifted by the sizes of the buckets before, so that no task ever holds
@@ -26,12 +27,13 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column], salt: Colum
     """
     b, n = "__bucket", "__rows"
     df = df.withColumn(b, F.pmod(salt, F.lit(buckets)).cast("int"))
-    sizes = df.groupBy(*keys, b).agg(F.count(F.lit(1)).alias(n))
+    sizes = df.groupBy(*keys, b).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias(n))
     before = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     base = sizes.select(*keys, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias("__base"))
-    own = F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order))
+    inside = Window.partitionBy(*keys, b).orderBy(*order)
+    own = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight) if weight else F.row_number().over(inside) - 1
     ranked = df.withColumn("__own", own).join(base, [*keys, b])
-    return ranked.withColumn(name, F.col("__base") + F.col("__own") - 1).drop(b, "__own", "__base")
+    return ranked.withColumn(name, F.col("__base") + F.col("__own")).drop(b, "__own", "__base")
 
 
 def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataFrame, rows: int, how: str = "inner") -> DataFrame:
