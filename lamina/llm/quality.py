@@ -9,6 +9,8 @@ Every line of a text is judged by itself.  A line fails if it is
   two words or more;
 * *shouting*: capitals are at least 70 % of its letters, and it has four
   shouted words (or a doubled exclamation mark);
+* *punctuation*: it has eight words or more, and none of its last eight ends a
+  sentence or clause (``.!?…:;``, before closing quotes or brackets or not);
 * *repeated*: it equals an earlier line of the text.
 
 Failing lines are removed.  A document is rejected if it fails the base tests
@@ -17,7 +19,8 @@ or if removing lines costs it more than ``loss`` percent of its words.
 
 Rows: null and empty texts have no words and fail.  Ties do not arise (no
 ordering is involved), rows that repeat are judged alike, an empty table gives
-no rows, and texts of any length are read whole.
+no rows, texts of any length are read whole, and other columns, whatever their
+names, stay (``keep_good``) or are ignored (``judge``).
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ _NOTICE = (
 )
 _BOILERPLATE, _WORDS = re.compile(_NOTICE), re.compile("[^ \t-\r]+")
 _CAPITALS, _SMALL = re.compile("[A-ZÀ-ÖØ-Þ]"), re.compile("[a-zß-öø-ÿ]")
+#: A word that ends a sentence or clause, and the words at a line's end of which one has to.
+_ENDS, TAIL = re.compile(r"[.!?…:;][\"')\]»”’]*$"), 8
 _COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -58,6 +63,8 @@ def line_fault(line: str) -> str | None:
         small = len(_SMALL.findall(line))
         if 10 * capitals >= 7 * (capitals + small) and ("!!" in line or sum(len(w) > 1 and w.upper() == w and w.lower() != w for w in words) >= 4):
             return "shouting"
+    if len(words) >= TAIL and not any(map(_ENDS.search, words[-TAIL:])):
+        return "punctuation"
     return None
 
 
@@ -164,7 +171,8 @@ lf AS (SELECT doc_id, size, dup, dup
     OR regexp_matches(line, '__NOTICE__')
     OR (size > 1 AND 6 * len([x FOR x IN lws IF x IN ('|', '||', '/', '»', '«', '›', '‹', '·', '•', '::', '>', '<', '>>', '<<')]) >= size)
     OR (size >= 2 AND 2 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) >= size)
-    OR (up >= 4 AND 10 * up >= 7 * (up + low) AND (contains(line, '!!') OR len([x FOR x IN lws IF length(x) > 1 AND upper(x) = x AND lower(x) <> x]) >= 4)) AS bad FROM lm),
+    OR (up >= 4 AND 10 * up >= 7 * (up + low) AND (contains(line, '!!') OR len([x FOR x IN lws IF length(x) > 1 AND upper(x) = x AND lower(x) <> x]) >= 4))
+    OR (size >= 8 AND len([x FOR x IN lws[-8:] IF regexp_matches(x, '[.!?…:;]["'')\]»”’]*$')]) = 0) AS bad FROM lm),
 ls AS (SELECT doc_id, CAST(count(*) FILTER (dup) AS BIGINT) AS dups, coalesce(sum(size) FILTER (bad), 0) AS lost FROM lf GROUP BY doc_id)
 SELECT m.doc_id, n_words, word_chars, n_symbols, coalesce(dups, 0) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
     n_words < 50 OR 100 * coalesce(r.n, 0) > 50 * n_words AS base_failed,

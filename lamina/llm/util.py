@@ -45,9 +45,9 @@ def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], sizes: DataF
     ever broadcast.  Keys must not be null.
     """
     hot = sizes.where(F.col("n") > max(HOT_ROWS, rows // MOST_HOT)).select(*keys)
-    hot = cut(hot.join(right, keys, how))
-    if hot.isEmpty():
+    if rows <= HOT_ROWS or hot.isEmpty():
         return left.join(right, keys, how)
+    hot = cut(hot.join(right, keys, how))
     rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     return left.join(F.broadcast(hot), keys).unionByName(rest.join(right, keys, how))
 
