@@ -3,7 +3,7 @@
 Patterns propose candidates: keys with known prefixes, values assigned to
 telling names, and long mixed strings.  Each is described by its length, its
 character transitions and entropy, how much of it common word pieces cover,
-the names and words before it, and the path it comes from; a random forest
+the names and words before and after it, and the path it comes from; a random forest
 fitted on the driver to ``TRAIN_ROWS`` generated, labelled findings decides.
 
 Rows: null and empty texts have no findings; texts are read whole; of
@@ -27,7 +27,7 @@ from lamina.llm.trees import fit_forest, forest_value
 
 TRAIN_ROWS = 4000
 KINDS = ("prefixed", "assigned", "key_block", "mixed")
-_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,80}|glpat-[A-Za-z0-9_-]{16,40}|xox[abpr]-[A-Za-z0-9-]{10,80}|sk_live_[A-Za-z0-9]{16,60}|AIza[A-Za-z0-9_-]{30,40}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![A-Za-z0-9])")
+_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}+|glpat-[A-Za-z0-9_-]{16,}+|xox[abpr]-[A-Za-z0-9-]{10,}+|sk_live_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{30,}+|eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)(?![A-Za-z0-9])")
 _HINTS = ("AKIA", "ASIA", "gh", "glpat-", "xox", "sk_live_", "AIza", "eyJ")
 _ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?[\"']?\s{0,3}(?:=|:|=>)\s{0,3}[\"']?([^\s\"'<>,;]{6,})")
 #: A key block goes to its END line, header lines with hyphens included; one without END, as one before another BEGIN, to its first hyphen.
@@ -40,7 +40,8 @@ _PIECES = re.compile(
 _CUE = re.compile("(?i)password|passwd|pwd|secret|token|key|auth|credential|login|bearer|private")
 _DOUBT = re.compile("(?i)example|sample|placeholder|dummy|test|hash|sha|md5|commit|checksum|digest|uuid|version|session|image|build|revision")
 _FAKE = re.compile(r"(?i)^(?:x+|\*+|\.+|<.*>|\$\{.*|\{\{.*|your.*|change.?me.*|none|null|true|false|undefined|secret|password|(.)\1+)$")
-FEATURES = ("length", "transitions", "entropy", "dictionary", "digits", "uppers", "hex", "cue", "doubt", "doubt_path", "fake", "kind", "repeats")
+FEATURES = ("length", "transitions", "entropy", "dictionary", "digits", "uppers", "hex", "cue", "doubt", "doubt_after", "doubt_path", "fake", "kind", "repeats")
+NEAR = 40  # characters before and after a candidate that count as its neighbourhood
 
 
 def candidates(text: str) -> list[tuple[int, int, int]]:
@@ -66,7 +67,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
 _LONG = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20}")
 
 
-def describe(value: str, before: str, path: str, kind: int) -> list[float]:
+def describe(value: str, before: str, after: str, path: str, kind: int) -> list[float]:
     n = len(value)
     classes = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "o" for c in value]
     counts = [value.count(c) for c in set(value)]
@@ -80,6 +81,7 @@ def describe(value: str, before: str, path: str, kind: int) -> list[float]:
         float(re.fullmatch("[0-9a-fA-F]+", value) is not None),
         float(_CUE.search(before) is not None),
         float(_DOUBT.search(before) is not None),
+        float(_DOUBT.search(after) is not None),
         float(_DOUBT.search(path or "") is not None),
         float(_FAKE.match(value) is not None),
         kind,
@@ -120,7 +122,12 @@ def training_table(rows: int = TRAIN_ROWS, seed: int = 5) -> tuple[np.ndarray, n
                 before += rng.choice(["commit ", "sha256 ", "version ", "checksum ", "", "", "id "])
             if rng.random() < 0.1:
                 kind, value, before = 0, "AKIA" + rng.choice(["EXAMPLE", "XXXXXXX"]) + "X" * 9, "example "
-        x.append(describe(value, before[-40:], path, kind))
+        after = prose(1) + " " + prose(2)
+        if not label and rng.random() < 0.3:
+            after = rng.choice([" is an example", "  # placeholder", " (dummy)", " as a test", " checksum of it"]) + after
+            if rng.random() < 0.5:  # what follows is all that tells
+                kind, value, before = 1, pick(low + up + dig, rng.randint(12, 32)), f"{prose(2)} " + rng.choice(["token = ", "api_key=", "secret: "])
+        x.append(describe(value, before[-NEAR:], after[:NEAR], path, kind))
         y.append(float(label))
     return np.array(x), np.array(y)
 
@@ -133,7 +140,7 @@ def fitted() -> list:
 def find(text: str | None, path: str | None, forest: list, threshold: float = 0.5) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the secrets in a text, in order."""
     text = text or ""
-    return [(s, e, KINDS[k]) for s, e, k in candidates(text) if forest_value(forest, describe(text[s:e], text[max(0, s - 40) : s], path or "", k)) >= threshold]
+    return [(s, e, KINDS[k]) for s, e, k in candidates(text) if forest_value(forest, describe(text[s:e], text[max(0, s - NEAR) : s], text[e : e + NEAR], path or "", k)) >= threshold]
 
 
 def scan(docs: DataFrame, path: str = "source") -> DataFrame:
