@@ -3,9 +3,11 @@
 A page is read once, left to right, into blocks: runs of text between
 block-level tags, with their words, link density, and what the enclosing
 elements say by tag, role, class and id.  A decision tree looks at a block's
-own figures, those of the neighbours before and after, and those hints, and
-says whether the block belongs to the article.  The tree is fitted on the
-driver to ``TRAIN_PAGES`` generated pages whose blocks are labelled.
+own figures, those of the neighbours before and after, its size beside the
+page's, and those hints, and says whether the block belongs to the article.
+The tree is fitted on the driver to ``TRAIN_PAGES`` generated pages whose
+blocks are labelled.  Where it takes nothing of a page that marks no article,
+the blocks that neither hints nor links speak against are the text.
 
 Scripts, styles, comments, markup, hidden elements and the page's head are
 never text.  Character references are decoded within each text node, white
@@ -13,14 +15,16 @@ space inside a block becomes one space, kept blocks are joined by one newline.
 
 Rows: null and empty pages give the empty text; broken markup (unclosed or
 crossed tags, a page that ends inside a tag, a comment or a reference) is read
-as far as it goes; very long pages are read whole; rows that repeat give equal
-results; an empty table gives no rows.
+as far as it goes, in time linear in the page; media elements without an end
+hide nothing; very long pages are read whole; rows that repeat give equal
+results; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -30,10 +34,13 @@ from pyspark.sql import DataFrame
 
 from lamina.llm.trees import fit_tree, tree_value
 
-TRAIN_PAGES = 500
+TRAIN_PAGES = 1500
 _TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp", "template", "svg", "math", "object", "select", "canvas", "audio", "video"}
+#: Elements whose content is no markup, up to their end tag.
+_RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp"}
+#: Elements that hide what they hold, if they have an end tag.
+_UNSEEN = {"template", "svg", "math", "object", "select", "canvas", "audio", "video"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = {
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -43,6 +50,7 @@ _INLINE_HINTS = {"a", "span", "button", "label"}
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Bits of what enclosing elements say.
 NAV, HEADER, FOOTER, ASIDE, FORM, AD, NOTICE, COMMENT, HIDDEN, MAIN, LINK, HEADING = (1 << i for i in range(12))
+_AGAINST = NAV | HEADER | FOOTER | ASIDE | FORM | AD | NOTICE | COMMENT
 _BY_TAG = {
     "nav": NAV, "menu": NAV, "header": HEADER, "footer": FOOTER, "aside": ASIDE, "form": FORM, "button": FORM, "fieldset": FORM, "label": FORM, "dialog": NOTICE, "search": FORM,
     "noscript": HIDDEN, "head": HIDDEN, "article": MAIN, "main": MAIN, "a": LINK, **{f"h{i}": HEADING for i in range(1, 7)},
@@ -56,14 +64,16 @@ _BY_NAME = [
     (re.compile(r"(?:^|[-_\s])(?:form|login|signup|search)(?:$|[-_\s])"), FORM),
     (re.compile(r"(?:^|[-_\s])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|commercial|teaser)(?:$|[-_\s])"), AD),
     (re.compile(r"(?:^|[-_\s])(?:cookies?|cookie\w+|consent|gdpr|notices?|alerts?|popup|modal|newsletter|subscri\w+|paywall|disclaimer|toast|overlay|warning)(?:$|[-_\s])"), NOTICE),
-    (re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|comment-\w+|repl(?:y|ies)|disqus|discussion|responses|reviews?|feedback)(?:$|[-_\s])"), COMMENT),
+    (re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|comment-\w+|repl(?:y|ies)|disqus|discussion|responses|(?:user|customer|reader)-?reviews?)(?:$|[-_\s])"), COMMENT),
     (re.compile(r"(?:^|[-_\s])(?:hidden|sr-only|visually-hidden|d-none)(?:$|[-_\s])"), HIDDEN),
     (re.compile(r"(?:^|[-_\s])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content|main|main-?content|content|story|story-?body)(?:$|[-_\s])"), MAIN),
 ]
 _SPLIT_NAME = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 FEATURES = (
     "words", "density", "words_before", "density_before", "words_after", "density_after", "nav", "header", "footer", "aside", "form", "ad", "notice", "comment", "main", "heading", "page_has_main", "ends_sentence",
+    "size_beside_largest", "stock_phrase",
 )
+_STOCK = re.compile(r"(?i)©|\bcopyright\b|all rights reserved|\bcookies?\b|privacy policy|terms of (?:use|service)|\bsubscribe\b|\bnewsletter\b|\bsign (?:up|in)\b|\blog ?in\b|\badvert|\bsponsored\b")
 
 
 @lru_cache(maxsize=4096)
@@ -75,9 +85,12 @@ def _hints(tag: str, attributes: str) -> int:
             name, value = m[1].lower(), (m[2] or "").strip("\"'")
             if name in ("class", "id"):
                 value = _SPLIT_NAME.sub("-", value).lower()
+                bits = 0
                 for pattern, bit in _BY_NAME:
                     if pattern.search(value):
-                        found |= bit
+                        bits |= bit
+                # a main menu or a content footer is a menu or a footer
+                found |= bits & ~MAIN if bits & _AGAINST else bits
             elif name == "role":
                 found |= _BY_ROLE.get(value.lower(), 0)
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -89,10 +102,22 @@ def _hints(tag: str, attributes: str) -> int:
     return found
 
 
+@lru_cache(maxsize=64)
+def _end_of(tag: str):
+    return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I)
+
+
+@lru_cache(maxsize=64)
+def _start_of(tag: str):
+    return re.compile(rf"<{tag}\b", re.I)
+
+
 def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
     """(text, words, link density, hints) of every block, in page order."""
     out: list[tuple[str, int, float, int]] = []
     stack: list[tuple[str, int]] = []  # (tag, hints of it and all around)
+    opened: Counter = Counter()  # tags on the stack
+    ends: dict[str, int] = {}  # where the next end tag of an unseen element is; -1: nowhere
     hints, parts, linked, at = 0, [], 0, 0
     if not html:
         return out
@@ -107,6 +132,16 @@ def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
             parts.clear()
         linked = 0
 
+    def has_end(tag: str) -> bool:
+        """Whether an end tag follows, before another start for those that don't nest."""
+        if tag not in ends or -1 < ends[tag] < at:
+            e = _end_of(tag).search(html, at)
+            ends[tag] = e.start() if e else -1
+        if ends[tag] < 0 or tag in ("object", "template", "svg"):
+            return ends[tag] >= 0
+        again = _start_of(tag).search(html, at, ends[tag])
+        return again is None
+
     said = 0
     end = len(html)
     while at < end:
@@ -136,16 +171,23 @@ def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
                 close()
             elif tag == "br":
                 parts.append(" ")
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    hints = stack[-1][1] if stack else 0
-                    break
+            if opened[tag]:
+                while True:
+                    top = stack.pop()[0]
+                    opened[top] -= 1
+                    if top == tag:
+                        break
+                hints = stack[-1][1] if stack else 0
             continue
         if tag in _RAW:
-            if not attributes.endswith("/") or tag not in ("svg", "math"):
-                e = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
-                at = e.end() if e else end
+            e = _end_of(tag).search(html, at)
+            at = e.end() if e else end
+            continue
+        if tag in _UNSEEN:
+            if not attributes.endswith("/") and has_end(tag):
+                stack.append((tag, hints | HIDDEN))
+                opened[tag] += 1
+                hints |= HIDDEN
             continue
         if tag in _BLOCK:
             close()
@@ -153,7 +195,7 @@ def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
             if tag not in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 over = {"p"}
             while stack and over and stack[-1][0] in over:
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             hints = stack[-1][1] if stack else 0
         elif tag == "br":
             parts.append(" ")
@@ -166,9 +208,11 @@ def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
             if tag == "body":
                 hints &= ~HIDDEN  # an unclosed head ends here
                 stack.clear()
+                opened.clear()
             if tag == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             stack.append((tag, hints | own))
+            opened[tag] += 1
             hints |= own
     close()
     return out
@@ -176,12 +220,13 @@ def blocks(html: str | None) -> list[tuple[str, int, float, int]]:
 
 def features(page: list[tuple[str, int, float, int]]) -> list[list[float]]:
     has_main = float(any(b[3] & MAIN for b in page))
+    largest = max((b[1] for b in page if b[2] < 0.5), default=1)
     rows = []
     for i, (text, words, density, hints) in enumerate(page):
         _, wb, db, _ = page[i - 1] if i else ("", 0, 0.0, 0)
         _, wa, da, _ = page[i + 1] if i + 1 < len(page) else ("", 0, 0.0, 0)
         flags = [float(bool(hints & f)) for f in (NAV, HEADER, FOOTER, ASIDE, FORM, AD, NOTICE, COMMENT, MAIN, HEADING)]
-        rows.append([words, density, wb, db, wa, da, *flags, has_main, float(text[-1] in ".!?:;…»”\"')")])
+        rows.append([words, density, wb, db, wa, da, *flags, has_main, float(text[-1] in ".!?:;…»”\"')"), words / largest, float(_STOCK.search(text) is not None)])
     return rows
 
 
@@ -204,18 +249,20 @@ def training_table(pages: int = TRAIN_PAGES, seed: int = 3) -> tuple[np.ndarray,
         layout = rng.choice(["tags", "classes", "plain"])
         name = lambda tag, cls: {"tags": f"<{tag}>", "classes": f"<div class='{cls}'>", "plain": "<div>"}[layout]
         over = lambda tag: f"</{tag}>" if layout == "tags" else "</div>"
-        body = [f"<h1>{words(rng.randint(2, 14), '')}</h1>"] * (rng.random() < 0.9)
-        for _ in range(rng.randint(1, 12)):
+        brief = layout == "plain" and rng.random() < 0.35  # a page of a few short blocks
+        body = [f"<h1>{words(rng.randint(2, 14), '')}</h1>"] * (rng.random() < (0.5 if brief else 0.9))
+        for _ in range(rng.randint(1, 3) if brief else rng.randint(1, 12)):
             # in a page that says nothing, an article is recognised by its longer paragraphs
-            short = rng.random() < (0.25 if layout != "plain" else 0.1)
+            short = brief or rng.random() < (0.25 if layout != "plain" else 0.1)
             body.append(f"<p>{words(rng.randint(1, 8) if short else rng.randint(9, 140))}</p>")
             if layout != "plain" and rng.random() < 0.12:
                 body.append(f"<h2>{words(rng.randint(1, 5), '')}</h2>")
-            if layout != "plain" and rng.random() < 0.1:
+            if rng.random() < 0.1:
                 body.append("<ul>" + "".join(f"<li>{words(rng.randint(2, 12))}</li>" for _ in range(3)) + "</ul>")
             if rng.random() < 0.1:
                 body.append(f"<p>{words(12)} <a href='/y'>{words(3, '')}</a> {words(9)}</p>")
-        rng.shuffle(body[1:])
+        if layout != "plain" and rng.random() < 0.2:
+            body = []  # nothing but what surrounds articles
         inside = []
         if layout != "plain":
             inside = [f"{name('aside', 'related')}{words(rng.randint(2, 40))}{over('aside')}"] * (rng.random() < 0.25)
@@ -225,8 +272,8 @@ def training_table(pages: int = TRAIN_PAGES, seed: int = 3) -> tuple[np.ndarray,
         rest = [
             (0.9, f"{name('nav', 'menu')}<ul>{links(rng.randint(3, 9), 'li')}</ul>{over('nav')}"),
             (0.4, f"{name('header', 'site-header')}<p>{words(rng.randint(1, 9), '')}</p>{over('header')}"),
-            (0.5, f"<div class='ad'>{words(rng.randint(3, 30))}</div>" if layout != "plain" else f"<div>{words(rng.randint(2, 6), '')}</div>"),
-            (0.3, f"<div class='cookie-notice'><p>{words(rng.randint(5, 40))}</p></div>" if layout != "plain" else f"<p>{words(4)} <a>{words(3, '')}</a></p>"),
+            (0.1 if brief else 0.5, f"<div class='ad'>{words(rng.randint(3, 30))}</div>" if layout != "plain" else f"<div>{words(rng.randint(2, 6), '')}</div>"),
+            (0.1 if brief else 0.3, f"<div class='cookie-notice'><p>{words(rng.randint(5, 40))}</p></div>" if layout != "plain" else f"<p>{words(4)} <a>{words(3, '')}</a></p>"),
         ]
         tail = [
             (0.4, f"{name('aside', 'sidebar')}<p>{words(rng.randint(3, 50))}</p><ul>{links(4, 'li')}</ul>{over('aside')}" if layout != "plain" else f"<ul>{links(6, 'li')}</ul>"),
@@ -235,8 +282,9 @@ def training_table(pages: int = TRAIN_PAGES, seed: int = 3) -> tuple[np.ndarray,
             (0.2, f"<div><p>{words(rng.randint(5, 60))}</p></div>" if layout != "plain" else ""),  # outside the article, unnamed
             (0.9, f"{name('footer', 'footer')}{words(rng.randint(2, 30))}{over('footer')}" if layout != "plain" else f"<div>&copy; {words(rng.randint(2, 7))}</div>"),
         ]
-        head = "".join(t for p, t in rest if rng.random() < p)
-        foot = "".join(t for p, t in tail if rng.random() < p)
+        few = 0.3 if not body else 1.0
+        head = "".join(t for p, t in rest if rng.random() < p * few)
+        foot = "".join(t for p, t in tail if rng.random() < p * few)
         html = f"{head}{name('article', 'post-content')}<!--a-->{''.join(body)}<!--b-->{''.join(inside)}{over('article')}{foot}"
         sure = {b[0] for b in blocks("".join(body))}
         page = blocks(html)
@@ -250,12 +298,15 @@ def training_table(pages: int = TRAIN_PAGES, seed: int = 3) -> tuple[np.ndarray,
 @lru_cache(maxsize=1)
 def fitted():
     x, y = training_table()
-    return fit_tree(x, y, np.ones(len(y)), depth=14, least=3)
+    return fit_tree(x, y, np.ones(len(y)), depth=12, least=4)
 
 
 def main_text(html: str | None, tree) -> str:
     page = blocks(html)
-    return "\n".join(b[0] for b, f in zip(page, features(page)) if tree_value(tree, f) >= 0.5)
+    kept = [b[0] for b, f in zip(page, features(page)) if tree_value(tree, f) >= 0.5]
+    if not kept and not any(b[3] & MAIN for b in page):
+        kept = [b[0] for b in page if not b[3] & _AGAINST and b[2] < 0.5]
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import re
+import textwrap
 from html import unescape
 
 import duckdb
@@ -11,40 +12,60 @@ from lamina.llm import licenses, trees
 from lamina.llm import secrets_scan as ss
 
 
-def test_licences_equal_sql_and_rules(spark):
-    bsd = "Copyright X. " + " ".join(s for k in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names") for s in licenses.SENTENCES[k])
-    rows = [(1, None), (2, ""), (3, "Text.\nAll rights reserved."), (4, bsd), (5, bsd.upper()), (6, "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License."), (7, "licensed, under cc by 4 0"), (8, "Released under the MIT License. All rights reserved."), (9, "We all have rights, reserved seats.")]
-    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, sid string")
-    got = {r.doc_id: tuple(r) for r in licenses.scan(docs).collect()}
-    assert [got[i][3] for i in (3, 4, 5, 6, 8)] == ["proprietary", "BSD-3-Clause", "BSD-3-Clause", "Apache-2.0", "MIT"] and got[9][3] is None and got[1][1:] == (0, "", None) and got[7][3] == "CC-BY-4.0"
-    con = duckdb.connect()
-    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
-    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
-    assert sorted(got.values()) == sorted(con.execute(licenses.ORACLE_SQL).fetchall())
-    again = licenses.scan(docs.unionByName(docs.where("doc_id = 3")))
-    assert again.count() == 10 and again.where("doc_id = 3 AND n_sentences = 1").count() == 2 and licenses.scan(docs.limit(0)).count() == 0
+def _wrap(s, width=72):
+    return textwrap.fill(s, width)
+
 
+def _marked(text, mark):
+    return "\n".join((mark + line).rstrip() for line in text.split("\n"))
 
-def test_licence_sentences_count_whole_only(spark):
-    gpl3 = licenses.SENTENCES["gpl-later"][0]
-    gpl2 = gpl3.replace("software: you", "software; you").replace("version 3", "version 2")
-    texts = [gpl3, gpl2, gpl3.replace("General", "Affero General"), "We say: this program is free software. Take it.", "Subject. " + licenses.SENTENCES["mpl2-name"][0] + " 2.0. If a copy", licenses.SENTENCES["mpl2-name"][0] + " 1.1. If", f"{gpl3} {gpl3}"]
-    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    none = (0, "", None)
-    assert got == {0: (1, "gpl-later", "GPL-3.0-or-later"), 1: none, 2: none, 3: none, 4: (1, "mpl2-name", "MPL-2.0"), 5: none, 6: (2, "gpl-later gpl-later", "GPL-3.0-or-later")}
 
+def _notice(what, family, sep, version, later=True):
+    end = f"either version {version} of the License, or (at your option) any later version." if later else f"version {version} of the License."
+    return _wrap(f"This {what} is free software{':' if sep == ',' else ';'} you can redistribute it and/or modify it under the terms of the {family} as published by the Free Software Foundation{sep} {end}")
 
-def test_wrapped_licence_sentences(spark):
-    import textwrap
 
-    known = licenses.SENTENCES
-    mit = "\n\n".join(textwrap.fill(known[k][0], 72) for k in ("mit-grant", "mit-notice", "as-is"))
-    bsd = "\n".join(textwrap.fill(f"{i}. {known[k][0]}" if i else known[k][0], 76) for i, k in enumerate(("bsd-grant", "bsd-source", "bsd-binary")))
-    marks = lambda t, m: "\n".join((m + line).rstrip() for line in t.split("\n"))
-    texts = ["MIT License\n\nCopyright (c) X\nAll rights reserved.\n\n" + mit, marks(mit, "# "), "/*\n" + marks(bsd, " * ") + "\n */", marks(known["gpl-later"][0].replace("under", "under\n"), "// "), mit.replace("\n", "\r\n"), "All rights\n\nreserved.", "x\n\n--\nAll rights reserved.\n"]
-    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    assert {r.doc_id: r.license for r in rows} == {0: "MIT", 1: "MIT", 2: "BSD-2-Clause", 3: "GPL-3.0-or-later", 4: "MIT", 5: None, 6: "proprietary"}
-    assert [r.n_sentences for r in rows if r.doc_id == 6] == [1]
+def _licence_texts():
+    """(text, licences in it, in order) with full and wrapped texts, notices, names and near misses."""
+    k = {n: ss_[0] for n, ss_ in licenses.SENTENCES.items()}
+    mit = "\n\n".join(_wrap(k[n]) for n in ("mit-grant", "mit-notice")) + "\n\n" + _wrap(k["mit-as-is"] + " " + k["mit-liable"])
+    bsd = "\n".join(_wrap(f"{i}. {k[n]}" if i else k[n], 76) for i, n in enumerate(("bsd-grant", "bsd-source", "bsd-binary")))
+    apache = _wrap(k["apache-header"] + " " + k["apache-use"])
+    gpl, lgpl, agpl = (f"GNU {x}General Public License" for x in ("", "Lesser ", "Affero "))
+    return [
+        (None, []), ("", []), ("Text.\nAll rights reserved.", ["proprietary"]), ("All rights\n\nreserved.", []), ("We all have rights, reserved seats.", []),
+        ("MIT License\n\nCopyright (c) X\nAll rights reserved.\n\n" + mit, ["proprietary", "MIT"]), (_marked(mit, "# "), ["MIT"]), (mit.replace("\n", "\r\n"), ["MIT"]), (mit.upper(), ["MIT"]), (mit.replace("free of charge", "at a price"), []),
+        (f"/*\n{_marked(bsd, ' * ')}\n */", ["BSD-2-Clause"]), (bsd + "\n" + _wrap("3. " + k["bsd-names"]), ["BSD-3-Clause"]), (_wrap(k["isc-grant"]), ["ISC"]), (_marked(apache, "// "), ["Apache-2.0"]),
+        (_notice("program", gpl, ";", 2), ["GPL-2.0-or-later"]), (_notice("program", gpl, ";", 2, False), ["GPL-2.0-only"]), (_marked(_notice("program", gpl, ",", 3), "# "), ["GPL-3.0-or-later"]), (_notice("program", agpl, ",", 3), ["AGPL-3.0-or-later"]),
+        (_notice("library", lgpl, ";", 2.1), ["LGPL-2.1-or-later"]), ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", ["GPL-2.0-only"]), ("We say: this program is free software. Take it.", []), (_notice("program", "Other License", ",", 3), []),
+        ("SPDX-License-Identifier: GPL-2.0+\ncode", ["GPL-2.0-or-later"]), ("// SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]), ("Licensed under GPLv3+.", ["GPL-3.0-or-later"]), ("licensed, under cc by 4 0", ["CC-BY-4.0"]),
+        ("Released under the MIT License. This project is licensed under the Apache License, Version 2.0.", ["MIT", "Apache-2.0"]), (k["mpl2-form"] + " If a copy", ["MPL-2.0"]), (k["mpl2-form"].replace("2.0", "1.1"), []),
+        ("word " * 200_000 + "\n" + " " * 200_000 + "\nReleased under the ISC license.", ["ISC"]), (mit + "\n\n" + mit, ["MIT", "MIT"]),
+    ]
+
+
+def test_licences_equal_sql_and_what_the_texts_say(spark):
+    cases = _licence_texts()
+    docs = spark.createDataFrame([(i, t, "s", 3) for i, (t, _) in enumerate(cases)], "doc_id long, text string, sid string, pos int")
+    rows = licenses.scan(docs).collect()
+    got = {r.doc_id: r for r in rows}
+    for i, (text, want) in enumerate(cases):
+        assert [x.split("@")[0] for x in got[i].licenses.split()] == want, (text or "")[:300]
+        assert (got[i].license in want) if want else got[i].license is None
+        assert got[i].n_sentences == len(got[i].sentence_ids.split())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [(i, t) for i, (t, _) in enumerate(cases)])
+    rel = con.sql(licenses.ORACLE_SQL)
+    assert rel.columns == rows[0].__fields__ and sorted(map(tuple, rows), key=str) == sorted(rel.fetchall(), key=str)
+    again = licenses.scan(docs.where("doc_id IN (2, 5)").unionByName(docs.where("doc_id = 2")))
+    assert again.count() == 3 and again.where("doc_id = 2 AND licenses = 'proprietary@1-1'").count() == 2 and licenses.scan(docs.limit(0)).count() == 0
+
+
+def test_a_licence_sentence_counts_once_and_whole():
+    table = dict(licenses.known_sentences())
+    assert len(table) < 1000 and table[licenses.normalise("This file is licensed under the terms of the MIT License")] == "name-mit"
+    assert all(set(p) <= set(licenses.SENTENCES) for places, _ in licenses.RULES for p in places)
 
 
 def test_secret_forest_on_held_out_findings():
@@ -152,6 +173,38 @@ def test_html_edges(spark):
     assert hx.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def _para(n, word="word"):
+    return " ".join([word] * n) + "."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<body><p>{_para(20)}</p></body>", [_para(20)]),
+        (f"<html><body>{_para(6)}</body></html>", [_para(6)]),
+        (f"<article><h1>Title here</h1><p>{_para(9)}</p><div class='review'><p>{_para(30)}</p></div></article>", ["Title here", _para(9), _para(30)]),
+        (f"<body><ul><li>{_para(6)}</li><li>{_para(9)}</li></ul></body>", [_para(6), _para(9)]),
+        (f"<div class='main-menu'><a href=a>One</a> <a href=b>Two</a></div><div id='content'><h2>Head line</h2><p>{_para(40)}</p><p>{_para(3)}</p></div><div class='sidebar'><p>{_para(12, 'side')}</p></div><div class='footer'>{_para(5, 'foot')}</div>", ["Head line", _para(40), _para(3)]),
+        (f"<main><p>{_para(25)}</p><blockquote>{_para(10)}</blockquote><table><tr><td>{_para(4)}</td><td>{_para(5)}</td></tr></table></main><section class='comments'><p>{_para(50, 'reply')}</p></section>", [_para(25), _para(10), _para(4), _para(5)]),
+        (f"<nav><a href=x>one</a></nav><p>{_para(60)}</p><p>{_para(30)}</p><p>{_para(45)}</p><footer>&copy; me</footer>", [_para(60), _para(30), _para(45)]),
+        (f"<article><p>{_para(15)}</p><audio src=x/><p>{_para(16)}</p><object data=y><p>{_para(17)}</p><select><option>a</option></select><video>no video</video><p>{_para(18)}</p></article>", [_para(15), _para(16), _para(17), _para(18)]),
+        ("<article></article><div class='ad'>Buy it now.</div>", []),
+        ("<nav><ul><li><a href=x>Only</a></li><li><a href=y>links</a></li></ul></nav>", []),
+    ],
+)
+def test_pages_of_other_templates(page, want):
+    assert hx.main_text(page, hx.fitted()).split("\n") == (want or [""])
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    at = time.time()
+    for page in ("<div>" * 60_000 + "</b>" * 60_000, "<audio>" * 40_000, "<select>" * 40_000 + "</select>", "<p>" * 60_000 + "</i>" * 60_000):
+        hx.blocks(page)
+    assert time.time() - at < 20
+
+
 def test_given_pages_equal_their_articles():
     pages = duckdb.sql("SELECT html FROM '/root/testdata/sf0.001/pages.parquet'").fetchall()
     for (h,) in pages:
