@@ -12,29 +12,35 @@ permuted block tables: of radius + 1 + extra blocks some set of 1 + extra
 blocks must agree, so each table keys fingerprints by one such set of blocks.
 Blocks go over all lanes; hot ones are compared chunk by chunk.
 
+``fingerprints`` looks every document's fingerprint up in these tables.
+
 Only column expressions run here.  Rows: null and empty texts have the zero
-fingerprint; texts shorter than a shingle count as one term; rows that repeat
-stay apart (they are told apart by their place in the order, not by doc_id);
-null doc_ids come last; an empty table gives no rows.
+fingerprint; texts shorter than a shingle count as one term; texts of any
+length are read whole; documents of equal doc_id follow each other by a hash of
+their texts; rows that repeat stay apart (they are told apart by their place in
+the order, not by doc_id); null doc_ids come last; an empty table gives no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.util import SPACE
+from lamina.llm.util import SPACE, below, cut, skewed_join
 
 LANES = 2
 SHINGLE = 3
 _HALVES = (1 << 32) | 1
-#: Rows per range of doc_id when documents are put in order.
-#: There are never more than MOST_RANGES * MOST_STEPS, so their table may be broadcast.
-ROWS_PER_RANGE, MOST_RANGES, MOST_STEPS = 4_000, 1_024, 64
+#: Rows per range of the order, quantiles of doc_id, and even steps between two of them.
+#: There are never more than 3 * MOST_RANGES * MOST_STEPS ranges, so their table (32 bytes each) may be broadcast.
+ROWS_PER_RANGE, MOST_RANGES, MOST_STEPS = 500, 1_024, 64
+RADIUS = 3
 
 
 def prints(df: DataFrame, keys: list[str], text: str = "text", lanes: int = LANES, shingle: int = SHINGLE) -> DataFrame:
@@ -133,33 +139,41 @@ def in_order(docs: DataFrame) -> DataFrame:
     ``i`` (row in it, from 1), and the row after: ``next_text``; ``extra`` marks
     the copy of each range's follower, which only lends its text.
 
-    Ranges are cut at quantiles of doc_id and, where they are still too long,
-    evenly between them, so no task sorts the whole table and texts are
-    shuffled once.  The first row of each range also closes the range before.
+    Ranges are cut at quantiles of doc_id and evenly between them, so no task
+    sorts the whole table and texts are shuffled once.  A doc_id that holds two
+    quantiles or more, and null, is cut by the hash of the text instead, which
+    orders rows within a doc_id; others hold at most 2 / MOST_RANGES of all
+    rows.  The first row of each range also closes the range before.
     """
-    ids = docs.select("doc_id")
-    n, lo, hi = ids.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
+    n, nulls, lo, hi = rows.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.min("doc_id"), F.max("doc_id")).first()
     wanted = max(1, math.ceil(n / ROWS_PER_RANGE))
     q = min(wanted, MOST_RANGES)
-    cuts = sorted(set(ids.agg(F.percentile_approx("doc_id", [i / q for i in range(1, q)], 10 * q)).first()[0])) if q > 1 and lo is not None else []
-    edges = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    above = F.size(F.filter(edges, lambda e: e > F.col("doc_id")))  # 0 for the largest ids
-    fine = min(MOST_STEPS, math.ceil(wanted / q))
-    upper = F.coalesce(F.get(edges, F.size(edges) - above), F.lit(hi))
-    lower = F.coalesce(F.when(above < len(cuts), F.get(edges, F.size(edges) - above - 1)), F.lit(lo))
-    step = F.least(F.lit(fine - 1), F.floor((upper - F.col("doc_id")) * F.lit(fine) / F.greatest(upper - lower, F.lit(1)))) if fine > 1 else F.lit(0)
-    r = F.when(F.col("doc_id").isNull(), F.lit((len(cuts) + 1) * fine)).otherwise(above * fine + step).cast("long")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("r", r)
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / q for i in range(1, q)], 10 * q)).first()[0] if q > 1 and lo is not None else []
+    held = Counter(cuts)
+    cuts, fine = sorted(held), min(MOST_STEPS, math.ceil(wanted / q))
+    as_long = lambda x: f"{x}L" if x > -(1 << 63) else "(-9223372036854775807L - 1L)"
+    listed = lambda xs: f"array({', '.join(map(as_long, xs))})" if xs else "cast(array() AS array<bigint>)"
+    steps = listed([held[c] * fine if held[c] > 1 else 0 for c in cuts])  # of a doc_id that is cut by hash
+    of_nulls = min(MOST_RANGES * MOST_STEPS, math.ceil(nulls / ROWS_PER_RANGE) or 1)
+    placed = rows.selectExpr("*", f"{below(listed(cuts), 'doc_id', 'e')} AS k").selectExpr(
+        "*", f"coalesce(get({listed(cuts)}, k), {as_long(hi or 0)}) AS upper", f"coalesce(CASE WHEN k > 0 THEN get({listed(cuts)}, k - 1) END, {as_long(lo or 0)}) AS lower", f"coalesce(get({steps}, k), 0L) AS steps"
+    )
+    by_hash = lambda n: f"least({n} - 1, floor((double(th) / 1.8446744073709552E19D + 0.5D) * {n}))"
+    evenly = f"least({fine - 1}, floor((double(upper) - double(doc_id)) * {fine} / greatest(double(upper) - double(lower), 1D)))"
+    r = f"""CASE WHEN doc_id IS NULL THEN {(2 * len(cuts) + 2) << 20}L + {by_hash(of_nulls)}
+        WHEN steps > 0 AND doc_id = upper THEN shiftleft(2L * ({len(cuts)} - k), 20) + {by_hash('steps')}
+        ELSE shiftleft(2L * ({len(cuts)} - k) + 1L, 20) + {evenly} END"""
+    rows = placed.selectExpr("doc_id", "text", "th", f"{r} AS r")
     # each range's first row, and the range whose last row it follows
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    used = rows.groupBy("r").agg(F.max("doc_id").alias("first"))
+    used = rows.groupBy("r").agg(F.max(F.struct("doc_id", F.bitwise_not("th").alias("th"))).alias("first"))
     before = F.lag("r").over(Window.orderBy("r"))
     wrap = F.max("r").over(Window.partitionBy())
-    heads = F.broadcast(used.select("r", "first", F.coalesce(before, wrap).alias("prev")))  # at most 65,537 rows
-    near = rows.join(heads, "r", "left").withColumn("lends", F.col("doc_id").eqNullSafe(F.col("first")))
-    both = near.select("doc_id", "text", "lends", F.explode(F.when(F.col("lends"), F.array(F.struct("r", F.lit(0).alias("extra")), F.struct(F.col("prev").alias("r"), F.lit(1).alias("extra")))).otherwise(F.array(F.struct("r", F.lit(0).alias("extra"))))).alias("x"))
-    w = Window.partitionBy("r").orderBy("extra", *order)
-    return both.select("doc_id", "text", F.col("x.r").alias("r"), F.col("x.extra").alias("extra")).withColumn("i", F.row_number().over(w)).withColumn("next_text", F.lead("text").over(w))
+    heads = F.broadcast(used.select("r", "first", F.coalesce(before, wrap).alias("prev")))  # bounded above
+    near = rows.join(heads, "r", "left").withColumn("lends", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.bitwise_not("first.th")))
+    both = near.select("doc_id", "text", "th", F.explode(F.when(F.col("lends"), F.array(F.struct("r", F.lit(0).alias("extra")), F.struct(F.col("prev").alias("r"), F.lit(1).alias("extra")))).otherwise(F.array(F.struct("r", F.lit(0).alias("extra"))))).alias("x"))
+    w = Window.partitionBy("r").orderBy("extra", F.col("doc_id").desc_nulls_last(), "th", "text")
+    return both.select("doc_id", "text", "th", F.col("x.r").alias("r"), F.col("x.extra").alias("extra")).withColumn("i", F.row_number().over(w)).withColumn("next_text", F.lead("text").over(w)).drop("th")
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
@@ -172,7 +186,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame, lanes: int = LANES, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next) of every document."""
+    near_edited, near_next, n_near) of every document; n_near counts the other
+    fingerprints within RADIUS bits of the document's."""
     ordered = with_edits(docs)
     both = ordered.select(
         "r", "i", "extra", "doc_id",
@@ -194,7 +209,7 @@ def fingerprints(docs: DataFrame, lanes: int = LANES, shingle: int = SHINGLE) ->
     own, edited = [F.col(f"{h}_0") for h in hs], [F.col(f"{h}_1") for h in hs]
     linked = row.select("*", *[F.lead(f"{h}_0").over(w).alias(f"{h}_n") for h in hs])
     # texts beyond the last copy of a range head never count
-    return linked.where("extra = 0").select(
+    made = linked.where("extra = 0").select(
         F.when(F.col("doc") != "", F.col("doc")).cast("long").alias("doc_id"),
         F.col("n").cast("long").alias("n_chars"),
         F.col("sha").alias("edited_sha256"),
@@ -203,6 +218,14 @@ def fingerprints(docs: DataFrame, lanes: int = LANES, shingle: int = SHINGLE) ->
         likeness(own, edited).alias("near_edited"),
         likeness(own, [F.col(f"{h}_n") for h in hs]).alias("near_next"),
     )
+    made = cut(made)
+    distinct = made.select("fingerprint").distinct().select(*[c.alias(h) for c, h in zip(lanes_of(F.col("fingerprint"), lanes), hs)])
+    pairs = near_pairs(distinct, RADIUS, fp=hs)
+    hexed = lambda c: as_hex([F.get(c, F.lit(k)) for k in range(lanes)])
+    counts = pairs.select(F.explode(F.array(hexed("a"), hexed("b"))).alias("fingerprint")).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_near"))
+    copies = made.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    joined = skewed_join(made, counts, ["fingerprint"], copies, made.count(), "left")
+    return joined.select(*made.columns, F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"))
 
 
 def op5_document_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -49,9 +49,37 @@ def test_query_columns_equal_brute_force(spark, monkeypatch):
         edited = t[: len(t) - half] + text[nxt][:half]
         r = got[i]
         assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), _slow(t), _slow(edited))
+        others = {_slow(x) for x in text.values()} - {r.fingerprint}
+        assert r.n_near == sum(bin(int(r.fingerprint, 16) ^ int(o, 16)).count("1") <= fp.RADIUS for o in others)
         assert abs(r.near_next - (1 - bin(int(_slow(t), 16) ^ int(_slow(text[nxt]), 16)).count("1") / 128)) < 1e-12
 
 
+def test_hot_and_null_ids_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(fp, "ROWS_PER_RANGE", 5)
+    rng = random.Random(6)
+    ids = [7] * 60 + [None] * 50 + list(range(-20, 40)) + [2**63 - 1, -(2**63), 3, 3, 3]
+    rows = [(i, " ".join(rng.choice(["the", "of", "été", "word"]) for _ in range(rng.randint(0, 9)))) for i in ids]
+    signed = lambda h: h - 2**64 if h >> 63 else h
+    th = lambda t: signed(xxhash.xxh64_intdigest(t.encode(), 42))
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), th(r[1]), r[1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fp.in_order(docs)
+    ordered = [r for r in got.orderBy("r", "extra", "i").collect() if not r.extra]
+    assert [(r.doc_id, r.text) for r in ordered] == want and len({r.r for r in ordered}) > 25
+    assert max(sum(r.r == x.r for x in ordered) for r in ordered) < 30
+    assert [r.next_text for r in ordered] == [t for _, t in want[1:] + want[:1]]
+    assert got.where("extra = 0").count() == len(rows)
+    digests = sorted((str(r.doc_id), r.edited_sha256) for r in fp.fingerprints(docs).collect())
+    edit = lambda t, n: t[: len(t) - len(t) // 2] + n[: len(t) // 2]
+    assert digests == sorted((str(i), hashlib.sha256(edit(t, n).encode()).hexdigest()) for (i, t), (_, n) in zip(want, want[1:] + want[:1]))
+
+
+def test_a_very_long_text_among_short_ones(spark):
+    rows = [(1, "a b"), (2, "word " * 300_000), (3, "c " * 9)]
+    got = {r.doc_id: r for r in fp.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[2].n_chars == 1_500_000 and got[2].fingerprint == _slow("word word word") and got[3].near_next == 1 - bin(int(got[3].fingerprint, 16) ^ int(got[2].fingerprint, 16)).count("1") / 128
+
+
 def test_repeats_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, None), (1, None), (None, "a b c d"), (None, "a b c d"), (2, "")], "doc_id long, text string")
     got = fp.fingerprints(docs).collect()
