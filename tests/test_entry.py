@@ -17,7 +17,7 @@ def test_every_query_has_a_callable_and_oracles_name_queries():
 
 
 def test_import_does_not_need_the_optional_parts(monkeypatch):
-    monkeypatch.setattr(entry, "_there", lambda name: False)
+    monkeypatch.setattr(entry, "_optional", lambda name: None)
     assert set(entry.queries()) == set(catalog.QUERIES) and set(entry.oracle_sql()) == set(catalog.ORACLES)
 
 
