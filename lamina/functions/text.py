@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WS = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+#: The same without the blank.
+ODD_WS = WS.replace(r"\x1c-\x20", r"\x1c-\x1f")
 WORDCHAR = r"\p{L}\p{N}_"
 
 #: Lone phrases of site furniture, after normalisation.
@@ -39,7 +41,12 @@ def words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(words(c))
+    return F.regexp_count(c, F.lit(f"[^{WS}]+"))
+
+
+def has_text(c: Column) -> Column:
+    """Whether anything but white space is there."""
+    return c.rlike(f"[^{WS}]")
 
 
 def strip(c: Column) -> Column:
@@ -48,7 +55,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return F.array_join(words(c), " ")
+    # lone blanks are right already, so only other white space is replaced
+    return F.btrim(F.regexp_replace(c, f" ?(?:[{ODD_WS}]|  )[{WS}]*", " "), F.lit(" "))
 
 
 def repeat_key(c: Column) -> Column:
@@ -86,14 +94,15 @@ def is_merged_chrome(c: Column) -> Column:
     ls = lines(c)
     hits = F.size(F.filter(ls, is_chrome_phrase))
     n = F.size(ls)
-    return F.when(n < 2, False).when(n == 2, hits == 2).otherwise(hits / n >= MERGED_MIN_SHARE)
+    return F.when(~c.contains("\n") | (n < 2), False).when(n == 2, hits == 2).otherwise(hits / n >= MERGED_MIN_SHARE)
 
 
 def is_packed(c: Column, height: Column, font: Column) -> Column:
     """Short lines that share less height than they would need one below another."""
     ls = lines(c)
     return (
-        (F.size(ls) >= 2)
+        c.contains("\n")
+        & (F.size(ls) >= 2)
         & (F.aggregate(ls, F.lit(0), lambda a, x: a + word_count(x)) <= PACKED_MAX_WORDS)
         & F.forall(ls, lambda x: (word_count(x) <= PACKED_MAX_LINE_WORDS) & ~x.rlike("[0-9/#]"))
         & (font > 0)
@@ -105,12 +114,12 @@ def is_garbled(c: Column, font: Column) -> Column:
     """Three lines or more that hold a few characters each, in body size."""
     ls = lines(c)
     total = F.aggregate(ls, F.lit(0), lambda a, x: a + F.length(x))
-    return (F.size(ls) >= GARBLED_MIN_LINES) & (total <= GARBLED_MAX_LINE * F.size(ls)) & (F.coalesce(font, F.lit(0.0)) <= GARBLED_MAX_FONT)
+    return c.contains("\n") & (F.size(ls) >= GARBLED_MIN_LINES) & (total <= GARBLED_MAX_LINE * F.size(ls)) & (F.coalesce(font, F.lit(0.0)) <= GARBLED_MAX_FONT)
 
 
 def is_print_stamp(c: Column) -> Column:
-    first = strip(F.substring_index(c, "\n", 1))
-    return first.rlike(PRINT_HEADER) | first.rlike(PRINT_FOOTER)
+    first = F.substring_index(c, "\n", 1)
+    return first.rlike(PRINT_HEADER.replace("^", f"^[{WS}]*", 1)) | first.rlike(PRINT_FOOTER.replace("^", f"^[{WS}]*", 1))
 
 
 def glued_words(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions.stopwords import ENGLISH
 from lamina.functions.text import WORDCHAR
+from lamina.session import cut, spread
 
 TOKEN = f"[{WORDCHAR}]{{2,}}"
 
@@ -29,11 +30,14 @@ def terms(text: Column, stop=ENGLISH, pairs: bool = True) -> Column:
 
 
 def exploded(docs: DataFrame, keys: list[str], text: str = "text", stop=ENGLISH, pairs: bool = True) -> DataFrame:
-    """(keys, term), a row per occurrence.  The array is made once, in a projection of its own."""
+    """(keys, term), a row per occurrence."""
+    docs = spread(docs.select(*keys, text))
+    if not pairs:  # stop words go after the explosion, where the test is compiled code
+        found = docs.select(*keys, F.explode(tokens(F.col(text), ())).alias("term"))
+        return found.where(~F.col("term").isin(*stop)) if stop else found
+    # the array is made once, in a projection of its own
     made = docs.select(*keys, tokens(F.col(text), stop).alias("__t"))
-    if pairs:
-        made = made.select(*keys, F.concat("__t", bigrams(F.col("__t"))).alias("__t"))
-    return made.select(*keys, F.explode("__t").alias("term"))
+    return made.select(*keys, F.explode(F.concat("__t", bigrams(F.col("__t")))).alias("term"))
 
 
 def document_frequency(docs: DataFrame, doc: str = "doc_id", **kw) -> DataFrame:
@@ -49,8 +53,26 @@ def ctfidf(docs: DataFrame, classes: list[str], top: int = 10, min_classes: int
     ``min_classes`` leaves out terms that fewer classes of the run have.
     Ties: greater weight first, then the term.
     """
+    return best_terms(exploded(docs, classes, **kw).groupBy(*classes, "term").agg(F.count(F.lit(1)).alias("n")), classes, top, min_classes)
+
+
+def ctfidf_runs(docs: DataFrame, assignments: DataFrame, top: int = 10, min_classes: int = 1, doc: str = "doc_id", **kw) -> DataFrame:
+    """(run_id, topic, rank, term, weight): ``ctfidf`` of many runs over one corpus.
+
+    Texts are tokenised once, whatever the number of runs: occurrences are
+    counted by the combination of topics that their document has over all
+    runs, and only those counts are dealt out to runs.
+    """
+    has = assignments.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("run_id", "topic"))).alias("topics"))  # a few runs
+    met = exploded(docs.join(has, doc), ["topics"], **kw).groupBy("topics", "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = met.select(F.inline("topics"), "term", "n").groupBy("run_id", "topic", "term").agg(F.sum("n").alias("n"))
+    return best_terms(counts, ["run_id", "topic"], top, min_classes)
+
+
+def best_terms(counts: DataFrame, classes: list[str], top: int, min_classes: int = 1) -> DataFrame:
+    """``ctfidf`` from (classes, term, n)."""
+    counts = cut(counts)  # three branches read it
     run = classes[:-1]
-    counts = exploded(docs, classes, **kw).groupBy(*classes, "term").agg(F.count(F.lit(1)).alias("n"))
     per_term = counts.groupBy(*run, "term").agg(F.sum("n").alias("f"), F.count(F.lit(1)).alias("in_classes"))
     counts = counts.join(per_term.where(F.col("in_classes") >= min_classes), [*run, "term"])
     per_class = counts.groupBy(*classes).agg(F.sum("n").alias("size"))

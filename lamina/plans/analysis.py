@@ -9,13 +9,13 @@ from lamina.operators import coherence, compare, runs, tokens
 from lamina.session import cut
 
 
-def stability(corpus: DataFrame, seeds=runs.SEEDS, min_cluster_size: int = 12, neighbours: int = 10, components: int = 5, top: int = 10, key: str = "doc_id") -> dict[str, DataFrame]:
+def stability(corpus: DataFrame, seeds=runs.SEEDS, min_cluster_size: int = 12, neighbours: int = 10, components: int = 5, top: int = 10, min_df: int = 2, key: str = "doc_id") -> dict[str, DataFrame]:
     """corpus (key, text, embedding) -> the comparison and word-stability
     tables; the first seed is the reference."""
     table = runs.grid(corpus.sparkSession, (min_cluster_size,), (neighbours,), seeds, components)
     found = cut(runs.fit(corpus, table, key=key))  # fits are dear; a row per run and document
-    texts = corpus.select(key, "text").join(found, key)
-    words = cut(tokens.ctfidf(texts, ["run_id", "topic"], top).where("topic <> -1"))  # a few words a topic
+    # the vectorizer sees one text per topic, so min_df counts topics
+    words = cut(tokens.ctfidf_runs(corpus.select(key, "text"), found, top, min_df, key).where("topic <> -1"))  # a few words a topic
     compared = cut(compare.compare_topics(found, words, 0, key))
     return {"assignments": found, "topic_words": words, "topic_comparisons": compared, "word_stability": compare.stable_words(compared, words, 0)}
 
@@ -30,7 +30,7 @@ def search(corpus: DataFrame, sizes, neighbours, components: int = 5, seed: int
     made = docs.select("doc_id", tokens.tokens(F.col("text")).alias("t")).select("doc_id", F.concat("t", tokens.bigrams(F.col("t"))).alias("tokens"))
     made = cut(made)
     df = made.select("doc_id", F.explode("tokens").alias("term")).groupBy("term").agg(F.countDistinct("doc_id").alias("df")).where(F.col("df") >= min_df)
-    words = tokens.ctfidf(corpus.select(key, "text").join(found, key), ["run_id", "topic"], top).where("topic <> -1")
+    words = tokens.ctfidf_runs(corpus.select(key, "text"), found, top, min_df, key).where("topic <> -1")
     valid = cut(coherence.valid_words(words, df))
     listed = [r[0] for r in valid.select("term").distinct().limit(coherence.MOST_WORDS + 1).collect()]
     scored = coherence.coherence(valid, coherence.window_counts(coherence.valid_tokens(made, df), listed))

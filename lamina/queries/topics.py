@@ -8,6 +8,7 @@ from lamina.functions.stopwords import ENGLISH
 from lamina.operators import coherence, compare, neighbours, runs, tokens
 from lamina.plans import analysis
 from lamina.queries.sql import q
+from lamina.session import spread
 
 _STOP = ", ".join(q(w) for w in ENGLISH)
 _TOKENS = f"tk AS (SELECT doc_id, lang, source, [t FOR t IN regexp_extract_all(lower(coalesce(text, '')), {q(tokens.TOKEN)}) IF t NOT IN ({_STOP})] AS ts FROM documents)"
@@ -83,19 +84,19 @@ def best_match(spark, sf_dir):
     return compare.best_matches(topic_overlap(spark, sf_dir))
 
 
-def _run_words(a):
-    return tokens.ctfidf(a, ["run_id", "topic"], 8, pairs=False).where("topic <> -1")
+def _run_words(spark, sf_dir, a):
+    return tokens.ctfidf_runs(_docs(spark, sf_dir), a, 8, pairs=False).where("topic <> -1")
 
 
 def topics_compare(spark, sf_dir):
-    a = _assigned(spark, sf_dir)
-    return compare.compare_topics(a.drop("text"), _run_words(a), 0).withColumns({c: F.round(c, 6) for c in ("preservation", "word_jaccard")})
+    a = _assigned(spark, sf_dir).drop("text")
+    return compare.compare_topics(a, _run_words(spark, sf_dir, a), 0).withColumns({c: F.round(c, 6) for c in ("preservation", "word_jaccard")})
 
 
 def word_stability(spark, sf_dir):
-    a = _assigned(spark, sf_dir)
-    w = _run_words(a)
-    return compare.stable_words(compare.compare_topics(a.drop("text"), w, 0), w, 0).withColumn("seed_proportion", F.round("seed_proportion", 6))
+    a = _assigned(spark, sf_dir).drop("text")
+    w = _run_words(spark, sf_dir, a)
+    return compare.stable_words(compare.compare_topics(a, w, 0), w, 0).withColumn("seed_proportion", F.round("seed_proportion", 6))
 
 
 def run_summary(spark, sf_dir):
@@ -148,7 +149,7 @@ def _dictionary(d, least):
 
 
 def _token_table(d):
-    return d.select("doc_id", tokens.tokens(F.col("text")).alias("tokens"))
+    return spread(d.select("doc_id", "text")).select("doc_id", tokens.tokens(F.col("text")).alias("tokens"))
 
 
 def valid_tokens(spark, sf_dir):

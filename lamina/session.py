@@ -51,3 +51,13 @@ def cut(df: DataFrame) -> DataFrame:
     """df, materialised in the shared folder; its lineage ends there."""
     shared_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, where its source has fewer parts than there are cores.
+
+    A file of one row group is read by one task, however many cores there are.
+    Rows of large inputs never move: those have parts enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

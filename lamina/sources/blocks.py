@@ -80,9 +80,12 @@ def pdf_blocks(spark: SparkSession, folder: str, pages: str = "") -> DataFrame:
 
 
 def line_blocks(docs: DataFrame, lines_per_page: int = 12) -> DataFrame:
-    """Each line of a document as a block of a 600 x 800 page (synthetic)."""
+    """Each line of a document as a block of a 600 x 800 page (synthetic).
+
+    Documents are partitioned by doc_id before they are cut, so what follows by
+    document or page needs no further shuffle of blocks."""
     n = lines_per_page
-    rows = docs.select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("k", "text"))
+    rows = docs.select("doc_id", "text").repartition("doc_id").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("k", "text"))
     r, size = F.col("k") % n, F.length("text")
     x0 = F.when(size % 5 == 0, 380).otherwise(60)
     y0 = 40 + 60 * r
