@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lamina.queries import artifacts, cases, layout, topics
+from lamina.queries import artifacts, cases, fixtures, layout, topics
 
 FLAGSHIP = "artifact_clean_text"
-QUERIES = {**artifacts.QUERIES, **layout.QUERIES, **cases.QUERIES, **topics.QUERIES}
-ORACLES: dict[str, str] = {**artifacts.ORACLES, **layout.ORACLES, **cases.ORACLES, **topics.ORACLES}
+QUERIES = {**artifacts.QUERIES, **layout.QUERIES, **fixtures.QUERIES, **cases.QUERIES, **topics.QUERIES}
+ORACLES: dict[str, str] = {**artifacts.ORACLES, **layout.ORACLES, **fixtures.ORACLES, **cases.ORACLES, **topics.ORACLES}

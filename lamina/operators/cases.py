@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,45 @@ def approximate_tokens(c: Column) -> Column:
     return F.ceil(F.length(c) / 4).cast("long")
 
 
+def token_counts(df: DataFrame, make: Callable[[], Callable[[str], int]], text: str = "text", to: str = "tokens") -> DataFrame:
+    """df with ``to``, the tokens of ``text`` by a tokenizer: ``make`` builds a
+    counter, once in each task.  A null text has none."""
+
+    def count(parts):
+        counter = make()
+        for part in parts:
+            yield part.map(lambda t: 0 if t is None else counter(t)).astype("int64")
+
+    return df.withColumn(to, F.pandas_udf(count, "long", F.PandasUDFType.SCALAR_ITER)(F.col(text)))
+
+
+def schedule(batched: DataFrame, per_minute: int, order: str = "case", group: str | None = None, window: int = WINDOW_SECONDS) -> DataFrame:
+    """``batches`` with not_before, in seconds from the start: a request waits
+    for its token window and keeps the interval that ``per_minute`` allows."""
+    w = Window.partitionBy(group).orderBy(order) if group else Window.orderBy(order)
+    return batched.withColumn("not_before", F.greatest((F.col("batch_no") * window).cast("double"), (F.row_number().over(w) - 1) * F.lit(60.0 / per_minute)))
+
+
+def answers(requests: DataFrame, ask: Callable[[str], str]) -> DataFrame:
+    """(case, answer, error): what ``ask`` gives for each request body.
+
+    Who is asked is the caller's affair; a case that fails has the error and no
+    answer, and the others go on.  A task that runs again asks again.
+    """
+
+    def run(parts):
+        for t in parts:
+            rows = []
+            for case, body in zip(t["case"], t["request"]):
+                try:
+                    rows.append((case, ask(body), None))
+                except Exception as e:  # whatever a service raises concerns this case only
+                    rows.append((case, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["case", "answer", "error"])
+
+    return requests.select("case", "request").mapInPandas(run, f"case {dict(requests.dtypes)['case']}, answer string, error string")
+
+
 def batches(requests: DataFrame, tokens: str = "tokens", order: str = "case", budget: int = BUDGET, group: str | None = None) -> DataFrame:
     """requests with batch_no: a new batch starts where the running total would
     pass the budget.  The total resets at each start, so the walk is a fold

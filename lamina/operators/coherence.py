@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.session import cut
+from lamina.sources.corpus import numbered
+
 WINDOW, EPSILON = 110, 1e-12
 #: Distinct topic words that may be sent to every task.
 MOST_WORDS = 100_000
@@ -21,6 +24,13 @@ def valid_words(words: DataFrame, vocabulary: DataFrame, least: int = 2) -> Data
     return known.join(able.select("run_id", "topic"), ["run_id", "topic"], "left_semi")
 
 
+def dictionary(tokens: DataFrame, least: int = 1) -> DataFrame:
+    """(id, term, df, tf) of the terms in at least ``least`` documents of
+    ``tokens`` (doc_id, tokens), numbered from 0 by term."""
+    found = tokens.select("doc_id", F.explode("tokens").alias("term")).groupBy("term").agg(F.countDistinct("doc_id").alias("df"), F.count(F.lit(1)).alias("tf"))
+    return numbered(cut(found.where(F.col("df") >= least)), "term").select(F.col("doc_idx").alias("id"), "term", "df", "tf")
+
+
 def valid_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(doc_id, tokens) without tokens that the vocabulary lacks; repeats and order stay."""
     flat = tokens.select("doc_id", F.posexplode("tokens").alias("pos", "term"))

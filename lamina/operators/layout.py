@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,30 @@ def text_layer(pages: DataFrame, blocks: DataFrame) -> DataFrame:
     return pages.drop("has_text_layer").join(chars, ["doc_id", "page_index"], "left").withColumn("has_text_layer", (n >= MIN_LAYER_CHARS) & ~scanned).drop("__n")
 
 
+def ocr_text(images: DataFrame, read: Callable[[bytes], str] | None) -> DataFrame:
+    """(doc_id, page_index, text, error) of page images (doc_id, page_index, image).
+
+    ``read`` is any OCR engine: image bytes to text.  None stands for "no engine
+    here": no page is read, and all of them end up in the review reasons.  A
+    page that the engine fails on has the error and no text; the others go on.
+    """
+    schema = f"doc_id {dict(images.dtypes)['doc_id']}, page_index int, text string, error string"
+    if read is None:
+        return images.sparkSession.createDataFrame([], schema)
+
+    def run(batches):
+        for t in batches:
+            rows = []
+            for doc, page, image in zip(t["doc_id"], t["page_index"], t["image"]):
+                try:
+                    rows.append((doc, page, (read(bytes(image)) or "").strip(), None))
+                except Exception as e:  # whatever an engine raises concerns this page only
+                    rows.append((doc, page, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["doc_id", "page_index", "text", "error"])
+
+    return images.select("doc_id", "page_index", "image").mapInPandas(run, schema)
+
+
 def inject_ocr(blocks: DataFrame, pages: DataFrame, ocr: DataFrame) -> DataFrame:
     """blocks in which pages without a text layer that OCR could read hold one
     full-page block; such pages keep has_text_layer = false."""

@@ -94,6 +94,19 @@ def topic_info(assignments: DataFrame, words: DataFrame, keys: list[str] | None
     return named.withColumn("name", F.concat_ws("_", F.col(keys[-1]).cast("string"), F.slice("representation", 1, 4)))
 
 
+def representative_docs(docs: DataFrame, topic: str, words: DataFrame, top: int = 3, doc: str = "doc_id", **kw) -> DataFrame:
+    """(topic, place, doc): the documents of each topic most like its keywords.
+
+    Likeness is the inner product of a document's term counts, scaled to length
+    one, with the keywords' weights (``words``: topic, term, weight); ties by
+    document."""
+    counts = exploded(docs, [doc, topic], **kw).groupBy(doc, topic, "term").agg(F.count(F.lit(1)).alias("n"))
+    length = F.sqrt(F.sum(F.col("n") * F.col("n")))
+    scored = counts.join(words.select(topic, "term", "weight"), [topic, "term"], "left").groupBy(topic, doc).agg((F.sum(F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0))) / length).alias("like"))
+    w = Window.partitionBy(topic).orderBy(F.round("like", 9).desc(), doc)
+    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(topic, "place", doc)
+
+
 def document_info(corpus: DataFrame, assignments: DataFrame, info: DataFrame, doc: str = "doc_id") -> DataFrame:
     return corpus.join(assignments, doc).join(info, "topic", "left")
 

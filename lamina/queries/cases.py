@@ -44,15 +44,20 @@ SELECT "case", tokens, n.provider, batch_no FROM n JOIN w ON w.provider = n.prov
 """
 
 
+def request_schedule(spark, sf_dir):
+    return cases.schedule(token_batches(spark, sf_dir), 15, group="provider").select("case", "provider", "batch_no", "not_before")
+
+
 def summary_requests(spark, sf_dir):
     t = _turns(spark, sf_dir).select(F.col("folder").alias("case"), "name", "text")
     return cases.requests(cases.regroup(t), "Summarise the case.").select("case", F.get_json_object("request", "$.messages[0].content").alias("system"), F.length(F.get_json_object("request", "$.messages[1].content")).cast("long").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (file_numbering, case_regroup, token_batches, summary_requests)}
+QUERIES = {f.__name__: f for f in (file_numbering, case_regroup, token_batches, request_schedule, summary_requests)}
 ORACLES = {
     "file_numbering": f"WITH {_TURNS}, p AS (SELECT folder, folder || '/' || sha256(text) || '-' || turn || '.pdf' AS path FROM t), n AS (SELECT folder, path, CAST(row_number() OVER (PARTITION BY folder ORDER BY path) AS INTEGER) AS n FROM p) SELECT *, folder || '_' || n || '.pdf' AS new_name FROM n",
     "case_regroup": f"""WITH {_TURNS} SELECT folder AS "case", count(*) AS n_documents, sha256(string_agg(text, chr(10) ORDER BY name)) AS texts_sha FROM t GROUP BY folder""",
     "token_batches": _BATCHES,
+    "request_schedule": f"SELECT s.\"case\", provider, batch_no, greatest(batch_no * 60, 4 * (row_number() OVER (PARTITION BY provider ORDER BY s.\"case\") - 1))::DOUBLE AS not_before FROM ({_BATCHES}) s",
     "summary_requests": f"""WITH {_TURNS} SELECT folder AS "case", 'Summarise the case.' AS system, CAST(sum(length(text)) + 2 * (count(*) - 1) AS BIGINT) AS n_chars FROM t GROUP BY folder""",
 }

@@ -156,6 +156,31 @@ def main_column(spark, sf_dir):
     return chrome.main_columns(layout.with_geometry(_lines(spark, sf_dir)))
 
 
+_MAIN = f"""
+WITH {line_blocks()}, c AS (SELECT doc_id, page_index, x0, count(*) AS n, sum(length(text)) AS s, max(length(text)) >= 80 AS long, max(x1) AS x1, max(x1) FILTER (length(text) >= 80) AS x1_long FROM blocks GROUP BY ALL),
+a AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_index, long ORDER BY s DESC, x0) AS k, row_number() OVER (PARTITION BY doc_id, page_index ORDER BY n = 1, x0) AS j FROM c),
+m AS (SELECT doc_id, page_index, bool_or(long) AS any_long, max(x0) FILTER (long AND k = 1) AS bx, max(x1_long) FILTER (long AND k = 1) AS b1, max(s) FILTER (long AND k = 1) AS bs,
+    max(x0) FILTER (NOT long AND k = 1) AS rx, max(x1) FILTER (NOT long AND k = 1) AS r1, max(s) FILTER (NOT long AND k = 1) AS rs, max(n) FILTER (NOT long AND k = 1) AS rn, max(x0) FILTER (j = 1) AS fx, max(x1) FILTER (j = 1) AS f1
+    FROM a GROUP BY doc_id, page_index)
+SELECT doc_id, page_index, CASE WHEN NOT any_long THEN fx WHEN rn > 1 AND rs > bs THEN rx ELSE bx END / 600 AS main_x0, CASE WHEN NOT any_long THEN f1 WHEN rn > 1 AND rs > bs THEN r1 ELSE b1 END / 600 AS main_x1 FROM m
+"""
+_REPEATED = f"""
+WITH RECURSIVE {line_blocks(4)}, b AS (SELECT doc_id, page_index, block_index, [x0 / page_width, y0 / page_height, x1 / page_width, y1 / page_height] AS box, {repeat_key('text')} AS norm, {wc('text')} AS w, {is_stamp('text')} AS stamp FROM blocks),
+p AS (SELECT doc_id, count(DISTINCT page_index) AS np, count(DISTINCT page_index) FILTER (page_index % 2 = 0) AS ne FROM b GROUP BY doc_id),
+g AS (SELECT b.*, np, ne, row_number() OVER (PARTITION BY doc_id, norm ORDER BY page_index, block_index) AS k FROM b JOIN p USING (doc_id) WHERE np >= 3 AND w <= 25 AND norm <> ''),
+f AS (SELECT doc_id, norm, k, 0 AS c, [{{'c': 0, 'box': box}}] AS seen FROM g WHERE k = 1 UNION ALL
+    SELECT doc_id, norm, k, c, list_append(seen, {{'c': c, 'box': box}}) FROM (
+        SELECT g.doc_id, g.norm, g.k, g.box, f.seen,
+            coalesce(list_min([s.c FOR s IN f.seen IF list_max([abs(s.box[i] - g.box[i]) FOR i IN [1, 2, 3, 4]]) <= 0.04]), list_max([s.c FOR s IN f.seen]) + 1) AS c
+        FROM f JOIN g ON g.doc_id = f.doc_id AND g.norm = f.norm AND g.k = f.k + 1)),
+placed AS (SELECT g.*, c FROM g JOIN f USING (doc_id, norm, k)),
+h AS (SELECT doc_id, norm, c, any_value(np) AS np, any_value(ne) AS ne, count(DISTINCT page_index) AS hit, count(DISTINCT page_index) FILTER (page_index % 2 = 0) AS he, count(DISTINCT page_index) FILTER (page_index % 2 = 1) AS ho FROM placed GROUP BY ALL),
+r AS (SELECT doc_id, norm, c, CASE WHEN hit / np >= 0.6 THEN 'repeated' WHEN he >= 3 AND he / ne >= 0.6 THEN 'repeated-even' WHEN ho >= 3 AND ho / (np - ne) >= 0.6 THEN 'repeated-odd' END AS reason FROM h)
+SELECT doc_id, page_index, block_index, reason, norm AS signature FROM placed JOIN r USING (doc_id, norm, c) WHERE NOT stamp AND (reason = 'repeated' OR (reason = 'repeated-even' AND page_index % 2 = 0) OR (reason = 'repeated-odd' AND page_index % 2 = 1))
+UNION ALL SELECT doc_id, page_index, block_index, 'print-stamp', norm FROM b WHERE stamp
+"""
+
+
 def page_chrome(spark, sf_dir):
     return chrome.page_chrome(_lines(spark, sf_dir)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -290,6 +315,8 @@ ORACLES = {
     "norm_dedup": f"WITH {line_blocks()} SELECT {repeat_key('text')} AS norm, count(*) AS n, count(DISTINCT doc_id) AS docs FROM blocks GROUP BY 1",
     "print_stamp": f"WITH {line_blocks()} SELECT doc_id, page_index, block_index FROM {_STAMPED} WHERE {is_stamp('text')}",
     "coverage": _COVERAGE,
+    "main_column": _MAIN,
+    "repeat_removal": _REPEATED,
     "chrome_phrase": _CHROME,
     "merged_chrome": _MERGED,
     "packed_lines": _PACKED,

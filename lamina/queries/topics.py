@@ -48,6 +48,15 @@ def topic_info(spark, sf_dir):
     return tokens.topic_info(d.select("lang"), words, ["lang"]).select("lang", "count", "name", F.array_join("representation", ",").alias("representation"))
 
 
+def representative_docs(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    return tokens.representative_docs(d, "lang", tokens.ctfidf(d, ["lang"], 10, pairs=False), pairs=False)
+
+
+def dictionary_ids(spark, sf_dir):
+    return coherence.dictionary(_token_table(_docs(spark, sf_dir)), 2)
+
+
 def document_info(spark, sf_dir):
     d = _docs(spark, sf_dir)
     info = tokens.topic_info(d.select(F.col("lang").alias("topic")), tokens.ctfidf(d, ["lang"], 10).withColumnRenamed("lang", "topic"))
@@ -212,7 +221,7 @@ def word_jaccard(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        token_df, ngram_df, ctfidf_top, topic_info, document_info, topic_overlap, best_match, topics_compare, word_stability, word_jaccard, run_summary, topic_members, relabelled, knn_cosine, core_distance, mutual_reachability,
+        token_df, ngram_df, ctfidf_top, topic_info, representative_docs, dictionary_ids, document_info, topic_overlap, best_match, topics_compare, word_stability, word_jaccard, run_summary, topic_members, relabelled, knn_cosine, core_distance, mutual_reachability,
         density_clusters, seed_runs, param_grid, valid_tokens, window_counts, npmi_pairs, coherence_cv, topic_search, seed_stability,
     )
 }
@@ -222,6 +231,10 @@ ORACLES = {
     "ctfidf_top": f"WITH {_TERMS}, {_ctfidf_sql('lang', 10)} SELECT cls AS lang, term, round(weight, 9) AS weight, rank FROM top",
     "topic_info": f"WITH {_TERMS}, {_ctfidf_sql('lang', 10)}, l AS (SELECT cls, list(term ORDER BY rank) AS r FROM top GROUP BY cls), c AS (SELECT lang, count(*) AS count FROM documents GROUP BY lang) SELECT lang, count, lang || '_' || array_to_string(r[1:4], '_') AS name, array_to_string(r, ',') AS representation FROM c JOIN l ON cls = lang",
     "document_info": f"WITH {_TERMS}, {_ctfidf_sql('lang', 10)}, l AS (SELECT cls, list(term ORDER BY rank) AS r FROM top GROUP BY cls) SELECT doc_id, source, lang AS topic, lang || '_' || array_to_string(r[1:4], '_') AS name, count(*) OVER (PARTITION BY lang) AS count FROM documents JOIN l ON cls = lang",
+    "representative_docs": f"""WITH {_TOKENS}, occ AS (SELECT doc_id, lang, unnest(ts) AS term FROM tk), {_ctfidf_sql('lang', 10)}, n AS (SELECT doc_id, lang, term, count(*) AS n FROM occ GROUP BY ALL),
+s AS (SELECT lang, doc_id, sum(coalesce(n * weight, 0)) / sqrt(sum(n * n)) AS s FROM n LEFT JOIN top ON cls = lang AND top.term = n.term GROUP BY ALL)
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY round(s, 9) DESC, doc_id) AS INTEGER) AS place, doc_id FROM s QUALIFY place <= 3""",
+    "dictionary_ids": f"WITH {_TOKENS}, o AS (SELECT doc_id, unnest(ts) AS term FROM tk), d AS (SELECT term, count(DISTINCT doc_id) AS df, count(*) AS tf FROM o GROUP BY term HAVING count(DISTINCT doc_id) >= 2) SELECT row_number() OVER (ORDER BY term) - 1 AS id, term, df, tf FROM d",
     "topic_overlap": f"WITH {_ASSIGNED} SELECT * FROM ov",
     "best_match": f"WITH {_ASSIGNED} SELECT * FROM best",
     "topics_compare": f"""WITH {_ASSIGNED}, {_RUN_WORDS}, sz AS (SELECT reference_topic, count(*) AS n FROM ref GROUP BY 1)

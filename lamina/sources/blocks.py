@@ -7,10 +7,14 @@ layouts make blocks from plain tables with integer arithmetic, for checks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lamina.operators.layout import text_layer
 from lamina.schema import BLOCKS
 
 
@@ -79,6 +83,71 @@ def pdf_blocks(spark: SparkSession, folder: str, pages: str = "") -> DataFrame:
     return spark.read.format("pdfblocks").option("pages", pages).load(folder)
 
 
+PAGE_ROWS = (
+    "doc_id string, page_index int, width double, height double, image_area_frac double, error string, "
+    "blocks array<struct<block_index:int,x0:double,y0:double,x1:double,y1:double,text:string,font_sizes:array<double>>>"
+)
+
+
+def parse_pdf(content: bytes) -> list[dict]:
+    """The pages of a PDF: width, height, image_area_frac and blocks."""
+    import fitz
+
+    pages = []
+    with fitz.open(stream=content, filetype="pdf") as doc:
+        for page in doc:
+            blocks, images = [], 0.0
+            for block in page.get_text("dict")["blocks"]:
+                box = fitz.Rect(block["bbox"]) * page.rotation_matrix
+                box.normalize()
+                if block.get("type") != 0:
+                    images += box.width * box.height
+                    continue
+                rows = ["".join(s["text"] for s in line["spans"]) for line in block["lines"]]
+                text = "\n".join(r for r in rows if r.strip()).strip()
+                if text:
+                    sizes = [float(s["size"]) for line in block["lines"] for s in line["spans"] if s["size"]]
+                    blocks.append((len(blocks), box.x0, box.y0, box.x1, box.y1, text, sizes))
+            area = page.rect.width * page.rect.height
+            pages.append({"width": float(page.rect.width), "height": float(page.rect.height), "image_area_frac": images / area if area else 0.0, "blocks": blocks})
+    return pages
+
+
+def pdf_pages(spark: SparkSession, folder: str, parse: Callable[[bytes], list[dict]] = parse_pdf) -> DataFrame:
+    """A row for each page of each PDF under a folder of any file system that
+    Spark reads, pages without blocks included; a file that can't be parsed is
+    one row with its error, and the others go on."""
+    names = ["doc_id", "page_index", "width", "height", "image_area_frac", "error", "blocks"]
+
+    def run(batches):
+        for t in batches:
+            for path, content in zip(t["path"], t["content"]):
+                try:
+                    rows = [(path, i, p["width"], p["height"], p["image_area_frac"], None, [tuple(b) for b in p["blocks"]]) for i, p in enumerate(parse(bytes(content)))]
+                except Exception as e:  # whatever a parser raises concerns this file only
+                    rows = [(path, None, None, None, None, f"{type(e).__name__}: {e}", [])]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names) if rows else pa.RecordBatch.from_arrays([pa.array([], k) for k in kinds], names=names)
+
+    block = pa.struct([("block_index", pa.int32()), *((c, pa.float64()) for c in ("x0", "y0", "x1", "y1")), ("text", pa.string()), ("font_sizes", pa.list_(pa.float64()))])
+    kinds = [pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.string(), pa.list_(block)]
+
+    def as_arrow(batches):
+        yield from run({"path": b.column(0).to_pylist(), "content": b.column(1).to_pylist()} for b in batches)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(folder)
+    return files.select("path", "content").mapInArrow(as_arrow, PAGE_ROWS)
+
+
+def tables_of(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, pages, blocks) of ``pdf_pages``, as the extraction takes
+    them: documents with filename and error, pages with their text-layer test."""
+    good = pages.where("error IS NULL")
+    documents = pages.groupBy("doc_id").agg(F.max("error").alias("error")).select("doc_id", F.element_at(F.split("doc_id", "/"), -1).alias("filename"), "error")
+    blocks = good.select("doc_id", "page_index", F.col("width").alias("page_width"), F.col("height").alias("page_height"), F.inline("blocks"))
+    blocks = blocks.select("doc_id", "page_index", "block_index", "page_width", "page_height", "x0", "y0", "x1", "y1", "text", "font_sizes")
+    return documents, text_layer(good.select("doc_id", "page_index", "width", "height", "image_area_frac"), blocks), blocks
+
+
 def line_blocks(docs: DataFrame, lines_per_page: int = 12) -> DataFrame:
     """Each line of a document as a block of a 600 x 800 page (synthetic).
 
