@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.util import cut, skewed_join
+from lamina.session import spread
 
 #: (bits, radius) of the segments; radius + 1 over all segments exceeds the Hamming radius by one.
 _LAYOUTS = {
@@ -184,5 +185,5 @@ def rooted(docs: DataFrame, words: int = 4, radius: int = 4, hot: int = 1000, ca
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
-    found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = classes(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

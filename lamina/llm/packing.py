@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.util import cut, rank_within
+from lamina.session import spread
 
 END_ID = 1
 ROWS_PER_BUCKET = 200_000
@@ -152,4 +153,4 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    return pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary_path())
+    return pack_documents(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")), vocabulary_path())

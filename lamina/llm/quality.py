@@ -30,7 +30,7 @@ from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from lamina.session import spread
 
 MIN_WORDS, MAX_REPEAT, LOSS = 50, 50, 40  # the last two in percent of the words
 _SYMBOLS = "#*$%&|<>"
@@ -150,7 +150,7 @@ def keep_good(docs: DataFrame, loss: int = LOSS, least: int = MIN_WORDS) -> Data
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return judge(spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))
 
 
 #: The same in SQL.  DuckDB's regular expressions have no look-around, and need none here.
