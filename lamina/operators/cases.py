@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.operators.grouped import by_group
+
 BUDGET, WINDOW_SECONDS = 100_000, 60
 
 
@@ -72,21 +75,26 @@ def answers(requests: DataFrame, ask: Callable[[str], str]) -> DataFrame:
     return requests.select("case", "request").mapInPandas(run, f"case {dict(requests.dtypes)['case']}, answer string, error string")
 
 
+def _walk(budget: int):
+    def walk(tokens):
+        used, no, out = 0, 0, []
+        for t in tokens.tolist():
+            if used > 0 and used + t > budget:
+                used, no = 0, no + 1
+            used += t
+            out.append(no)
+        return range(len(out)), out
+
+    return walk
+
+
 def batches(requests: DataFrame, tokens: str = "tokens", order: str = "case", budget: int = BUDGET, group: str | None = None) -> DataFrame:
     """requests with batch_no: a new batch starts where the running total would
-    pass the budget.  The total resets at each start, so the walk is a fold
-    over (order, tokens) pairs; with ``group`` each group walks by itself."""
+    pass the budget.  The total resets at each start, so each group is walked
+    in one task, on two narrow columns; without ``group`` all are one walk."""
     g = F.lit(1) if group is None else F.col(group)
-    pairs = requests.groupBy(g.alias("__g")).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(tokens).alias("t")))).alias("ps"))
-    walked = F.aggregate(
-        "ps",
-        F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("no"), F.array().cast("array<int>").alias("out")),
-        lambda a, p: F.when((a["used"] > 0) & (a["used"] + p["t"] > budget), F.struct(p["t"].alias("used"), (a["no"] + 1).alias("no"), F.concat(a["out"], F.array(a["no"] + 1)).alias("out"))).otherwise(
-            F.struct((a["used"] + p["t"]).alias("used"), a["no"].alias("no"), F.concat(a["out"], F.array(a["no"])).alias("out"))
-        ),
-        lambda a: a["out"],
-    )
-    rows = pairs.select("__g", F.explode(F.arrays_zip(F.col("ps.o").alias("o"), walked.alias("b"))).alias("x")).select("__g", F.col("x.o").alias("__o"), F.col("x.b").alias("batch_no"))
+    lean = requests.select(g.alias("__g"), F.col(order).alias("__o"), F.col(tokens).alias("__t"))
+    rows = by_group(lean, ["__g"], ["__o", "__t"], ["__t"], ["__g", "__o"], _walk(budget), [("batch_no", pa.int32())])
     return requests.join(rows, (requests[order] == rows["__o"]) & (g == rows["__g"])).drop("__g", "__o")
 
 
