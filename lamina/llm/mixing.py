@@ -158,7 +158,10 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_COPIES) ->
     """
     key = [F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id")]
     per = mix(docs, weights, most).groupBy(*key, "th").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    per = cut(per)
     joined = docs.select(F.struct("*").alias("row"), *key, F.xxhash64("text").alias("th")).join(per, ["none", "id", "th"])
+    if per.where("rows > 1").isEmpty():
+        return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
     once = joined.where("rows = 1").select("row", "copies")
     # rows that are equal in all columns become one with their number
     same = joined.where("rows > 1").groupBy("none", "id", "th", "copies", "rows", "row").agg(F.count(F.lit(1)).alias("m"))
