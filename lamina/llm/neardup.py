@@ -32,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.util import cut, skewed_join
@@ -135,13 +135,18 @@ def links(fps: DataFrame, count: int, radius: int = 4, hot: int = 1000) -> DataF
 
 
 def _through_middles(pool: DataFrame, radius: int) -> DataFrame:
-    """Joins fingerprints within an even radius through values half-way between."""
+    """Joins fingerprints within an even radius through values half-way between.
+
+    No join: estimates don't count what explode adds, so the side with the least
+    members would be broadcast, 2,081 rows per fingerprint, through the driver's
+    memory.  A value has 2,081 members at most, so a window over it stays small.
+    """
     if radius % 2:
         raise ValueError("half-way values need an even radius")
     masks = F.array(*[F.lit(_signed(m)) for m in _ball(64, radius // 2)])
     spread = pool.select("fp", F.explode(masks).alias("m")).select("fp", F.col("fp").bitwiseXOR(F.col("m")).alias("z"))
-    least = spread.groupBy("z").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("z", "a")
-    return spread.join(least, "z").where("a < fp").select("a", F.col("fp").alias("b")).distinct()
+    least = F.min("fp").over(Window.partitionBy("z")).alias("a")
+    return spread.select(least, F.col("fp").alias("b")).where("a < b").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
