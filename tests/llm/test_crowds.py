@@ -4,7 +4,7 @@ import random
 
 import corpus_pipeline
 from lamina.llm import neardup
-from test_neardup import _groups, _signed
+from test_neardup import _fingerprint, _groups, _signed
 
 #: Look-ups of a fingerprint where they are few in number; Spark may broadcast those of a small table.
 ASKED = 20
@@ -53,3 +53,17 @@ def test_stage_joins_a_crowd_of_near_copies(spark, monkeypatch):
     monkeypatch.undo()
     assert got == {r.component_id for r in neardup.classes(docs).collect()} and 0 in got and len(got) < len(rows)
     assert len(met) == 1 and met[0].collect() and _broadcast_rows(met[0]) <= ASKED * len(rows)
+
+
+def test_query_joins_a_crowd_of_near_copies(spark, monkeypatch, tmp_path):
+    body = [f"w{i}" for i in range(300)]
+    texts = {i: " ".join([*body[:i], f"other{i}", *body[i + 1 :]]) for i in range(0, 120, 2)} | {1000 + i: " ".join(f"z{i}y{j}" for j in range(60)) for i in range(5)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    met, links, middles = [], neardup.links, neardup._through_middles
+    monkeypatch.setattr(neardup, "links", lambda fps, count, radius, hot: links(fps, count, radius, 5))
+    monkeypatch.setattr(neardup, "_through_middles", lambda *args: met.append(middles(*args)) or met[-1])
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in neardup.op10_simhash_near_dedup(spark, str(tmp_path)).collect()}
+    prints = {i: _signed(_fingerprint(t)) for i, t in texts.items()}
+    ids = {f: min(i for i, p in prints.items() if p in g) for g in _groups(set(prints.values())) for f in g}
+    assert got == {i: (f"{p & (2**64 - 1):016x}", ids[p]) for i, p in prints.items()}
+    assert len(met) == 1 and met[0].collect() and _broadcast_rows(met[0]) <= ASKED * len(texts)
