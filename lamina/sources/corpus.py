@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamina.session import cut
+
 SIDECAR = ".excluded.txt"
 
 
@@ -25,7 +27,8 @@ def _quoted(path: str) -> str:
 
 def numbered(corpus: DataFrame, by: str = "name") -> DataFrame:
     """corpus with doc_idx: places from 0 by name, through a distributed sort."""
-    parts = corpus.orderBy(by).withColumn("__at", F.monotonically_increasing_id())
+    # written once: a second sort, of other columns, may draw the bounds of its parts elsewhere
+    parts = cut(corpus.orderBy(by).withColumn("__at", F.monotonically_increasing_id()))
     part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = parts.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
     # one row per part of the sort

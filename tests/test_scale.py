@@ -2,7 +2,10 @@
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 from lamina.operators import density, runs
+from lamina.sources import corpus
 
 
 def test_tree_and_core_equal_those_of_the_whole_matrix():
@@ -30,3 +33,16 @@ def test_a_run_takes_any_number_of_vectors(spark):
     got = runs.fit(df, runs.grid(spark, (2000,), (5,), (1,), 2)).toPandas()
     assert len(got) == n and got["vec_id"].is_unique
     assert set(got["topic"]) - {-1}
+
+
+def test_numbers_follow_the_order_whatever_the_parts(spark):
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    for k, v in zip(was, ("40", "100k", "false")):
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(60_000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("more"))
+        got = corpus.numbered(rows).select("name", "doc_idx", "more").toArrow().sort_by("doc_idx").to_pydict()
+        assert got["doc_idx"] == list(range(60_000)) and got["name"] == sorted(got["name"])
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
