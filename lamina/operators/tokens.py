@@ -29,9 +29,11 @@ def terms(text: Column, stop=ENGLISH, pairs: bool = True) -> Column:
     return F.concat(ts, bigrams(ts)) if pairs else ts
 
 
-def exploded(docs: DataFrame, keys: list[str], text: str = "text", stop=ENGLISH, pairs: bool = True) -> DataFrame:
-    """(keys, term), a row per occurrence."""
-    docs = spread(docs.select(*keys, text))
+def exploded(docs: DataFrame, keys: list[str], text: str = "text", stop=ENGLISH, pairs: bool = True, placed: bool = False) -> DataFrame:
+    """(keys, term), a row per occurrence.  ``placed``: docs come from a shuffle,
+    which looking at their parts would run once more."""
+    docs = docs.select(*keys, text)
+    docs = docs if placed else spread(docs)
     if not pairs:  # stop words go after the explosion, where the test is compiled code
         found = docs.select(*keys, F.explode(tokens(F.col(text), ())).alias("term"))
         return found.where(~F.col("term").isin(*stop)) if stop else found
@@ -40,8 +42,15 @@ def exploded(docs: DataFrame, keys: list[str], text: str = "text", stop=ENGLISH,
     return made.select(*keys, F.explode(F.concat("__t", bigrams(F.col("__t")))).alias("term"))
 
 
+def counted(docs: DataFrame, keys: list[str], doc: str, **kw) -> DataFrame:
+    """(keys, term, n) with ``doc`` among the keys.  Texts are put by document
+    first, so occurrences are counted where they arise and never shuffled."""
+    return exploded(docs.repartition(doc), keys, placed=True, **kw).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+
+
 def document_frequency(docs: DataFrame, doc: str = "doc_id", **kw) -> DataFrame:
-    return exploded(docs, [doc], **kw).groupBy("term").agg(F.countDistinct(doc).alias("df"), F.count(F.lit(1)).alias("tf"))
+    text = kw.get("text", "text")
+    return counted(docs.select(doc, text), [doc], doc, **kw).groupBy("term").agg(F.count(doc).alias("df"), F.sum("n").alias("tf"))
 
 
 def ctfidf(docs: DataFrame, classes: list[str], top: int = 10, min_classes: int = 1, **kw) -> DataFrame:
@@ -63,25 +72,33 @@ def ctfidf_runs(docs: DataFrame, assignments: DataFrame, top: int = 10, min_clas
     counted by the combination of topics that their document has over all
     runs, and only those counts are dealt out to runs.
     """
-    has = assignments.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("run_id", "topic"))).alias("topics"))  # a few runs
-    met = exploded(docs.join(has, doc), ["topics"], **kw).groupBy("topics", "term").agg(F.count(F.lit(1)).alias("n"))
-    counts = met.select(F.inline("topics"), "term", "n").groupBy("run_id", "topic", "term").agg(F.sum("n").alias("n"))
+    has = assignments.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("run_id", "topic"))).alias("__t"))  # a few runs
+    kind = dict(assignments.dtypes)
+    # a short text serves as the key of a combination; as an array it would outweigh the terms
+    code = F.array_join(F.transform("__t", lambda x: F.concat(F.coalesce(x["run_id"].cast("string"), F.lit("")), F.lit(":"), F.coalesce(x["topic"].cast("string"), F.lit("")))), ",")
+    met = exploded(docs.join(has.select(doc, code.alias("__c")), doc), ["__c"], placed=True, **kw).groupBy("__c", "term").agg(F.count(F.lit(1)).alias("n"))
+    part = lambda x, i, name: F.nullif(F.split(x, ":")[i], F.lit("")).cast(kind[name]).alias(name)
+    dealt = F.transform(F.split("__c", ","), lambda x: F.struct(part(x, 0, "run_id"), part(x, 1, "topic")))
+    counts = met.select(F.inline(dealt), "term", "n").groupBy("run_id", "topic", "term").agg(F.sum("n").alias("n"))
     return best_terms(counts, ["run_id", "topic"], top, min_classes)
 
 
 def best_terms(counts: DataFrame, classes: list[str], top: int, min_classes: int = 1) -> DataFrame:
-    """``ctfidf`` from (classes, term, n)."""
-    counts = cut(counts)  # three branches read it
+    """``ctfidf`` from (classes, term, n).
+
+    Sizes of classes go to every task, a row for each class: as a shuffled
+    join they would bring all terms of a class to one task."""
     run = classes[:-1]
-    per_term = counts.groupBy(*run, "term").agg(F.sum("n").alias("f"), F.count(F.lit(1)).alias("in_classes"))
-    counts = counts.join(per_term.where(F.col("in_classes") >= min_classes), [*run, "term"])
+    term = Window.partitionBy(*run, "term")
+    met = counts.select("*", F.sum("n").over(term).alias("f"), F.count(F.lit(1)).over(term).alias("__k"))
+    counts = cut(met.where(F.col("__k") >= min_classes).drop("__k"))  # two branches read it
     per_class = counts.groupBy(*classes).agg(F.sum("n").alias("size"))
-    mean = per_class.groupBy(*run).agg(F.floor(F.avg("size")).alias("mean_size")) if run else per_class.agg(F.floor(F.avg("size")).alias("mean_size"))
-    both = counts.join(per_class, classes)
-    both = both.join(mean, run) if run else both.crossJoin(F.broadcast(mean))  # one row
+    per_class = per_class.withColumn("mean_size", F.floor(F.avg("size").over(Window.partitionBy(*(run or [F.lit(0)])))))
+    both = counts.join(F.broadcast(per_class), classes)
     weight = F.col("n") / F.col("size") * F.log1p(F.col("mean_size") / F.col("f"))
     w = Window.partitionBy(*classes).orderBy(F.round("weight", 12).desc(), "term")
-    return both.select(*classes, "term", weight.alias("weight")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    found = both.select(*classes, "term", weight.alias("weight")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return cut(found)  # a few terms a class, which may be read often
 
 
 def topic_info(assignments: DataFrame, words: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -100,9 +117,9 @@ def representative_docs(docs: DataFrame, topic: str, words: DataFrame, top: int
     Likeness is the inner product of a document's term counts, scaled to length
     one, with the keywords' weights (``words``: topic, term, weight); ties by
     document."""
-    counts = exploded(docs, [doc, topic], **kw).groupBy(doc, topic, "term").agg(F.count(F.lit(1)).alias("n"))
+    counts = counted(docs, [doc, topic], doc, **kw)
     length = F.sqrt(F.sum(F.col("n") * F.col("n")))
-    scored = counts.join(words.select(topic, "term", "weight"), [topic, "term"], "left").groupBy(topic, doc).agg((F.sum(F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0))) / length).alias("like"))
+    scored = counts.join(F.broadcast(words.select(topic, "term", "weight")), [topic, "term"], "left").groupBy(topic, doc).agg((F.sum(F.coalesce(F.col("n") * F.col("weight"), F.lit(0.0))) / length).alias("like"))
     w = Window.partitionBy(topic).orderBy(F.round("like", 9).desc(), doc)
     return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top).select(topic, "place", doc)
 

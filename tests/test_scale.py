@@ -4,7 +4,7 @@ import numpy as np
 
 from pyspark.sql import functions as F
 
-from lamina.operators import density, runs
+from lamina.operators import coherence, density, runs, tokens
 from lamina.sources import corpus
 
 
@@ -46,3 +46,22 @@ def test_numbers_follow_the_order_whatever_the_parts(spark):
     finally:
         for k, v in was.items():
             spark.conf.set(k, v)
+
+
+def _plans(monkeypatch, module):
+    """Plans of what a module cuts."""
+    seen, real = [], module.cut
+    monkeypatch.setattr(module, "cut", lambda df: (seen.append(df._jdf.queryExecution().toString()), real(df))[1])
+    return seen
+
+
+def _docs(spark):
+    rows = [(1, "en", "solar panels make power"), (1, "en", "solar power"), (2, "fr", "le soleil power"), (3, None, "panels"), (None, "fr", "soleil soleil")]
+    return spark.createDataFrame(rows, "doc_id long, lang string, text string")
+
+
+def test_terms_of_a_class_are_not_brought_to_one_task(spark, monkeypatch):
+    plans = _plans(monkeypatch, tokens)
+    got = tokens.ctfidf(_docs(spark), ["lang"], 3, pairs=False)
+    assert {r.lang for r in got.collect()} == {"en", "fr"} and "SortMergeJoin" not in plans[-1] and len(plans) == 2
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
