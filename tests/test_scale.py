@@ -4,7 +4,9 @@ import numpy as np
 
 from pyspark.sql import functions as F
 
-from lamina.operators import coherence, density, runs, tokens
+from lamina.functions import text as tx
+from lamina.operators import chrome, coherence, dedupe, density, layout, runs, tokens
+from lamina.sources import blocks as src
 from lamina.sources import corpus
 
 
@@ -65,3 +67,27 @@ def test_terms_of_a_class_are_not_brought_to_one_task(spark, monkeypatch):
     got = tokens.ctfidf(_docs(spark), ["lang"], 3, pairs=False)
     assert {r.lang for r in got.collect()} == {"en", "fr"} and "SortMergeJoin" not in plans[-1] and len(plans) == 2
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_count_is_that_of_split_and_makes_no_list(spark):
+    texts = ["", " ", "a", " a  b ", "a\tb\u00a0c", "\u2003a \u3000\n b", "a\x1cb c", "  \n\n  ", "é — ü", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.word_count(F.col("t")).alias("n"))
+    assert [r.n for r in df.collect()] == [None if t is None else len(t.split()) for t in texts]
+    assert "regexp_count" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def _lines(spark):
+    page = "Menu|Daily Herald|a long line of words that fills the page with text of its own {}|Sign In|Most read|page foot"
+    return src.line_blocks(spark.createDataFrame([(d, "\n".join(page.format(d * 7 + p) for p in range(4)).replace("|", "\n")) for d in range(6)], "doc_id long, text string"), 6)
+
+
+def test_texts_are_judged_once(spark, monkeypatch):
+    b = _lines(spark)
+    plans = _plans(monkeypatch, chrome)
+    found = chrome.page_chrome(b)
+    assert len(plans) == 2 and "split" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.reason for r in found.select("reason").distinct().collect()} >= {"chrome-phrase"}
+    plans = _plans(monkeypatch, dedupe)
+    gone = dedupe.repeated(b, src.pages_of(b))
+    assert len(plans) == 1 and "split" not in gone._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.signature for r in gone.collect()} >= {"menu", "daily herald", "sign in"}
