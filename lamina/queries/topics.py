@@ -8,7 +8,7 @@ from lamina.functions.stopwords import ENGLISH
 from lamina.operators import coherence, compare, neighbours, runs, tokens
 from lamina.plans import analysis
 from lamina.queries.sql import q
-from lamina.session import spread
+from lamina.session import cut, spread
 
 _STOP = ", ".join(q(w) for w in ENGLISH)
 _TOKENS = f"tk AS (SELECT doc_id, lang, source, [t FOR t IN regexp_extract_all(lower(coalesce(text, '')), {q(tokens.TOKEN)}) IF t NOT IN ({_STOP})] AS ts FROM documents)"
@@ -136,7 +136,7 @@ def core_distance(spark, sf_dir):
 
 
 def mutual_reachability(spark, sf_dir):
-    near = neighbours.knn(_vectors(spark, sf_dir), 5)
+    near = cut(neighbours.knn(_vectors(spark, sf_dir), 5))  # read three times
     return neighbours.mutual_reachability(near, neighbours.core_distances(near, 2)).withColumn("mreach", F.round("mreach", 6))
 
 

@@ -5,7 +5,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lamina.functions import text as tx
-from lamina.operators import chrome, coherence, dedupe, density, layout, runs, tokens
+from lamina.operators import chrome, coherence, dedupe, density, neighbours, runs, tokens
+from lamina.queries import topics
 from lamina.sources import blocks as src
 from lamina.sources import corpus
 
@@ -91,3 +92,20 @@ def test_texts_are_judged_once(spark, monkeypatch):
     gone = dedupe.repeated(b, src.pages_of(b))
     assert len(plans) == 1 and "split" not in gone._jdf.queryExecution().optimizedPlan().toString().lower()
     assert {r.signature for r in gone.collect()} >= {"menu", "daily herald", "sign in"}
+
+
+def test_neighbours_are_found_once_and_travel_as_typed(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(4)
+    v = np.float32(rng.normal(size=(90, 8)))
+    v[50:70] = v[1]
+    spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    sent, real = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: (sent.append(x), real(x))[1])
+    monkeypatch.setattr(neighbours, "_CHUNK", 16, raising=False)
+    found = topics.mutual_reachability(spark, str(tmp_path))
+    assert "MapInPandas" not in found._jdf.queryExecution().executedPlan().toString() and sent[0][1].dtype == np.float32
+    s = v.astype(float) @ v.astype(float).T
+    want = {(i, j, r + 1) for i in range(90) for r, j in enumerate(sorted((j for j in range(90) if j != i), key=lambda j: (-round(s[i, j], 9), j))[:5])}
+    assert {(r.vec_id, r.neighbour, r["rank"]) for r in found.collect()} == want
+    far = spark.createDataFrame([(i, [float(x) * 1e30 for x in w]) for i, w in enumerate(v[:9])], "vec_id long, embedding array<double>")
+    assert neighbours.knn(far, 3).count() == 27
