@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import cut
+from lamina.session import by_key, cut
 from lamina.sources.corpus import numbered
 
 WINDOW, EPSILON = 110, 1e-12
@@ -29,7 +29,7 @@ def valid_words(words: DataFrame, vocabulary: DataFrame, least: int = 2) -> Data
 def dictionary(tokens: DataFrame, least: int = 1) -> DataFrame:
     """(id, term, df, tf) of the terms in at least ``least`` documents of
     ``tokens`` (doc_id, tokens), numbered from 0 by term."""
-    each = tokens.repartition("doc_id").select("doc_id", F.explode("tokens").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    each = by_key(tokens, "doc_id").select("doc_id", F.explode("tokens").alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n"))
     found = each.groupBy("term").agg(F.count("doc_id").alias("df"), F.sum("n").alias("tf"))
     return numbered(cut(found.where(F.col("df") >= least)), "term").select(F.col("doc_idx").alias("id"), "term", "df", "tf")
 
@@ -38,7 +38,7 @@ def valid_tokens(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(doc_id, tokens) without tokens that the vocabulary lacks; repeats and order stay."""
     known = cut(vocabulary.select("term"))
     few = known.count() <= MOST_TERMS
-    flat = tokens.repartition("doc_id").select("doc_id", F.posexplode("tokens").alias("pos", "term"))
+    flat = by_key(tokens, "doc_id").select("doc_id", F.posexplode("tokens").alias("pos", "term"))
     kept = flat.join(F.broadcast(known) if few else known, "term", "left_semi")
     return kept.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "term"))), lambda x: x["term"]).alias("tokens"))
 

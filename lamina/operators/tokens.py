@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions.stopwords import ENGLISH
 from lamina.functions.text import WORDCHAR
-from lamina.session import cut, spread
+from lamina.session import by_key, cut, spread
 
 TOKEN = f"[{WORDCHAR}]{{2,}}"
 
@@ -45,7 +45,7 @@ def exploded(docs: DataFrame, keys: list[str], text: str = "text", stop=ENGLISH,
 def counted(docs: DataFrame, keys: list[str], doc: str, **kw) -> DataFrame:
     """(keys, term, n) with ``doc`` among the keys.  Texts are put by document
     first, so occurrences are counted where they arise and never shuffled."""
-    return exploded(docs.repartition(doc), keys, placed=True, **kw).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
+    return exploded(by_key(docs, doc), keys, placed=True, **kw).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def document_frequency(docs: DataFrame, doc: str = "doc_id", **kw) -> DataFrame:

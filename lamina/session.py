@@ -61,3 +61,14 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+#: About so many bytes, as the plan estimates them, go to a part of ``by_key``; no more parts than MOST_PARTS.
+PART_BYTES, MOST_PARTS = 2 << 20, 4_000
+
+
+def by_key(df: DataFrame, key: str) -> DataFrame:
+    """df in parts by key, whose size doesn't grow with the input: what a task
+    counts in memory is many times the text that it reads."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(min(MOST_PARTS, max(df.sparkSession.sparkContext.defaultParallelism, size // PART_BYTES)), key)

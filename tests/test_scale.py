@@ -109,3 +109,25 @@ def test_neighbours_are_found_once_and_travel_as_typed(spark, tmp_path, monkeypa
     assert {(r.vec_id, r.neighbour, r["rank"]) for r in found.collect()} == want
     far = spark.createDataFrame([(i, [float(x) * 1e30 for x in w]) for i, w in enumerate(v[:9])], "vec_id long, embedding array<double>")
     assert neighbours.knn(far, 3).count() == 27
+
+
+def test_occurrences_are_not_shuffled(spark):
+    docs = _docs(spark)
+    found = tokens.document_frequency(docs, pairs=False)
+    assert sorted((r.term, r.df, r.tf) for r in found.collect()) == sorted([("solar", 1, 2), ("panels", 2, 2), ("make", 1, 1), ("power", 2, 3), ("le", 1, 1), ("soleil", 1, 3)])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning(" in x and "doc_id" in x and "term" in x]
+
+
+def test_window_counts_are_made_once(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["a", "b"])], "doc_id long, tokens array<string>")
+    assert "MapInPandas" not in coherence.npmi(coherence.window_counts(df, ["a", "b"], 4))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_combinations_of_runs_are_short_keys(spark, monkeypatch):
+    plans = _plans(monkeypatch, tokens)
+    docs = spark.createDataFrame([(i, "alpha beta" if i % 2 else "gamma alpha") for i in range(8)], "doc_id long, text string")
+    runs_ = spark.createDataFrame([(r, i, (i % 2) - r) for r in range(2) for i in range(8) if i != 3 or r], "run_id int, doc_id long, topic int")
+    got = {(r.run_id, r.topic, r.term) for r in tokens.ctfidf_runs(docs, runs_, 5, pairs=False).collect()}
+    assert got == {(r, t - r, w) for r in range(2) for t in range(2) for w in (("alpha", "beta") if t else ("gamma", "alpha"))}
+    assert len(plans) == 2 and "keys=[__c" in plans[0]
